@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.text import col, name_form
-from ledgerlens.llm import segments, sketch, topn
+from ledgerlens.llm import abuse, mixing, packing, segments, sketch, tokens, topn
 from ledgerlens.queries import table
+from ledgerlens.session import materialise
+
+#: Tokens of a container.
+CAPACITY = 2048
 
 
 def sql_name(c: str) -> str:
@@ -68,7 +72,71 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return segments.repeats(_jobs(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_percentiles, p2_exact_percentiles, p3_found, p5_found)}
+def _spread(docs: DataFrame) -> DataFrame:
+    """Texts cost far more to read than to move: at least two tasks a core."""
+    return docs.repartition(2 * docs.sparkSession.sparkContext.defaultParallelism)
+
+
+def _packed(spark: SparkSession, d: str):
+    sizes = materialise(_spread(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", tokens.count_tokens(F.col("text")).alias("size")), "sizes")
+    return packing.pack(sizes, "doc_id", "size", CAPACITY)
+
+
+def p8_containers(spark: SparkSession, d: str) -> DataFrame:
+    """Every text, or piece of one that is too long, with its container."""
+    return _packed(spark, d)[0]
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return _packed(spark, d)[0].where("piece = 0 and pieces > 1").select("doc_id")
+
+
+def p8_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Containers, tokens and the share of space used."""
+    fill = _packed(spark, d)[0].groupBy("container").agg(F.sum("size").alias("used"))
+    return fill.agg(F.count("*").alias("containers"), F.sum("used").alias("tokens"), F.max("used").alias("fullest"), (F.sum("used") / (F.count("*") * CAPACITY)).alias("share_used"))
+
+
+def _mixed(spark: SparkSession, d: str):
+    docs = _spread(table(spark, d, "documents").select("doc_id", "source", "lang", "text"))
+    sized = docs.select("doc_id", "source", "lang", mixing.topic_of(F.col("text")).alias("topic"), tokens.count_tokens(F.col("text")).alias("size"))
+    return mixing.mix(materialise(sized, "sized"), "doc_id", "source", "lang", "topic", "size", table(spark, d, "mix_targets"))
+
+
+def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
+    """The documents taken and how often."""
+    return _mixed(spark, d)[0]
+
+
+def p9_report(spark: SparkSession, d: str) -> DataFrame:
+    """Target and reached share of every source."""
+    return _mixed(spark, d)[1]
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_report(spark, d).where("short and target_share > 0").select("source")
+
+
+def _scored(spark: SparkSession, d: str) -> DataFrame:
+    docs = _spread(table(spark, d, "documents").select("doc_id", "source", "text"))
+    machine = abuse.fit(table(spark, d, "review_examples"), "example_id", "example_text", "verdict", docs, "text")
+    return abuse.score(docs, "text", machine)
+
+
+def p10_scores(spark: SparkSession, d: str) -> DataFrame:
+    return _scored(spark, d).select("doc_id", "score")
+
+
+def p10_rates(spark: SparkSession, d: str) -> DataFrame:
+    """Flagged texts per source."""
+    return abuse.rates(_scored(spark, d), F.lower(F.trim("source")), abuse.THRESHOLD)
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return _scored(spark, d).where(F.col("score") > abuse.THRESHOLD).select("doc_id")
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_percentiles, p2_exact_percentiles, p3_found, p5_found, p8_found, p8_containers, p8_fill, p9_found, p9_mixture, p9_report, p10_found, p10_scores, p10_rates)}
 
 ORACLE = {
     "p2_found": P2_RANKED + ", q as (select market, max(case when rn = (n + 3) // 4 then ca end) as p25, max(case when rn = (3 * n + 3) // 4 then ca end) as p75 from o group by 1) select agg_id from o join q using (market) where ca > p75 + 6 * (p75 - p25) or ca < p25 - 6 * (p75 - p25)",
