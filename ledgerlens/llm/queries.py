@@ -73,8 +73,9 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _spread(docs: DataFrame) -> DataFrame:
-    """Texts cost far more to read than to move: at least two tasks a core."""
-    return docs.repartition(2 * docs.sparkSession.sparkContext.defaultParallelism)
+    """At least two tasks a core, as reading texts costs far more than moving them; a table of that many splits isn't moved."""
+    tasks = 2 * docs.sparkSession.sparkContext.defaultParallelism
+    return docs if docs.rdd.getNumPartitions() >= tasks else docs.repartition(tasks)
 
 
 def _packed(spark: SparkSession, d: str):
