@@ -97,7 +97,7 @@ def _profile(spark: SparkSession, d: str, value) -> DataFrame:
 
 def p6_key_profile(spark: SparkSession, d: str) -> DataFrame:
     """Rows, distinct market segments and the modal one for every key of both fields."""
-    return _profile(spark, d, name_form(col("Market Segment Name")))
+    return _profile(spark, d, name_form(col("Market Segment Name"))).withColumn("mode_rows", F.coalesce("mode_rows", F.lit(0)))
 
 
 def p6_key_percentiles(spark: SparkSession, d: str) -> DataFrame:
@@ -142,7 +142,7 @@ ORACLE = {
     "p6_key_profile": f"""with r as ({P6_ROWS}), v as (select field_name, key_value, seg, count(*) as w from r group by 1, 2, 3),
  b as (select field_name, key_value, seg, w, row_number() over (partition by field_name, key_value order by w desc, seg) as rn from v where seg is not null),
  s as (select field_name, key_value, cast(sum(w) as bigint) as n_rows, cast(coalesce(sum(case when seg is not null then w end), 0) as bigint) as n_values, count(seg) as n_distinct from v group by 1, 2)
-select s.field_name, s.key_value, n_rows, n_values, n_distinct, b.seg as mode, b.w as mode_rows from s left join b on s.field_name = b.field_name and s.key_value is not distinct from b.key_value and b.rn = 1""",
+select s.field_name, s.key_value, n_rows, n_values, n_distinct, b.seg as mode, coalesce(b.w, 0) as mode_rows from s left join b on s.field_name = b.field_name and s.key_value is not distinct from b.key_value and b.rn = 1""",
     "p6_key_percentiles": f"""with r as ({P6_ROWS}), o as (select field_name, key_value, value, row_number() over (partition by field_name, key_value order by value) as rn, count(*) over (partition by field_name, key_value) as n from r where value is not null)
 select field_name, key_value, p, value, n from o, (values (0.25::double, 1), (0.5::double, 2), (0.75::double, 3)) as t(p, k) where rn = (k * n + 3) // 4""",
     "p7_found": P7.format(""),
