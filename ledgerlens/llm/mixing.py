@@ -7,9 +7,11 @@ taken as often as its cell's factor says, the fraction by a draw that depends on
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,12 +27,36 @@ MAX_CELLS = 100_000
 
 
 def topic_of(text: Column) -> Column:
-    """The topic with most of its words in the whole text; ties in the order above, ``other`` without any."""
-    low = F.lower(text)
-    # the first of equal counts wins: the position breaks ties
-    counted = F.array(*[F.struct(F.regexp_count(low, F.lit(words)).alias("n"), F.lit(-i).alias("at"), F.lit(t).alias("topic")) for i, (t, words) in enumerate(TOPICS.items())])
-    best = F.array_max(counted)
-    return F.when(best["n"] > 0, best["topic"]).otherwise("other")
+    """The topic whose words occur most often in the whole lower-case text, overlapping ones too; ties in the order
+    above, ``other`` without any, null for null. One pass of a string automaton over all words."""
+
+    @F.pandas_udf("string")
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import ahocorasick
+
+        names = list(TOPICS)
+        words: dict[str, list[int]] = {}
+        for i, n in enumerate(names):
+            for w in TOPICS[n].split("|"):
+                words.setdefault(w, []).append(i)
+        automaton = ahocorasick.Automaton()
+        for w, topics in words.items():
+            automaton.add_word(w, topics)
+        automaton.make_automaton()
+
+        def one(t: str | None) -> str | None:
+            if t is None:
+                return None
+            n = [0] * len(names)
+            for _, topics in automaton.iter(t.lower()):
+                for i in topics:
+                    n[i] += 1
+            return names[n.index(max(n))] if any(n) else "other"
+
+        for s in batches:
+            yield pd.Series([one(t) for t in s], dtype=object)
+
+    return of(text)
 
 
 @dataclass
