@@ -120,8 +120,8 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 def _scored(spark: SparkSession, d: str) -> DataFrame:
     docs = _spread(table(spark, d, "documents").select("doc_id", "source", "text"))
-    machine = abuse.fit(table(spark, d, "review_examples"), "example_id", "example_text", "verdict", docs, "text")
-    return abuse.score(docs, "text", machine)
+    reviewed = abuse.examples_of(table(spark, d, "review_examples"), "example_id", "example_text", "verdict")
+    return abuse.score_corpus(docs, "text", *reviewed)
 
 
 def p10_scores(spark: SparkSession, d: str) -> DataFrame:
