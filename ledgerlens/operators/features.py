@@ -135,12 +135,13 @@ def event_types(events: DataFrame, kinds: list[str], max_types: int) -> list[tup
     return types if found else []
 
 
-def feature_table(events: DataFrame, entity: str, kinds: list[str], day: str, amount: Column, types: list[tuple], spec: FeatureSpec = FeatureSpec(), wide: bool = False) -> DataFrame:
+def feature_table(events: DataFrame, entity: str, kinds: list[str], day: str, amount: Column, types: list[tuple], spec: FeatureSpec = FeatureSpec(), wide: bool = False, population: DataFrame | None = None) -> DataFrame:
     """One row per ``entity`` with, for each event type k of ``types``, the rows ``n``, the latest ``day`` and the total of ``amount``.
 
     ``amount`` is a bigint column, such as an unscaled decimal; null counts as 0. Rows without entity, kind or day
-    are left out. ``wide`` gives the columns ``n_k, last_k, total_k``; else there are three arrays with an element
-    for each type. A type an entity has no row of gets 0, null and 0. An empty table gives no rows. A total beyond
+    are left out. ``population`` is a cheaper table with the column ``entity`` to estimate the number of entities
+    from, which sets the number of buckets only. ``wide`` gives the columns ``n_k, last_k, total_k``; else there are
+    three arrays with an element for each type. A type an entity has no row of gets 0, null and 0. An empty table gives no rows. A total beyond
     64 bits raises OverflowError.
     """
     schema = T.StructType([T.StructField("entity", T.StringType())])
@@ -152,7 +153,7 @@ def feature_table(events: DataFrame, entity: str, kinds: list[str], day: str, am
     spark = events.sparkSession
     if not types:
         return spark.createDataFrame([], schema)
-    entities = events.agg(F.approx_count_distinct(entity, 0.05)).first()[0]
+    entities = (events if population is None else population).agg(F.approx_count_distinct(entity, 0.05)).first()[0]
     buckets = max(1, -(-entities // spec.entities_per_bucket))
     # the sorted labels of each kind give the code of a type in mixed radix, as event_types orders them
     code = F.lit(0)

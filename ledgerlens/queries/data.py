@@ -28,7 +28,7 @@ def _events(spark: SparkSession, d: str) -> DataFrame:
 def _features(spark: SparkSession, d: str, wide: bool):
     raw = table(spark, d, "operations").select(name_form(F.col("Customer")).alias("customer"), col("Activity Name (EN)").alias("activity"), col("Product Name").alias("product"))
     types = features.event_types(raw, ["activity", "product"], features.FeatureSpec.max_types)
-    return features.feature_table(_events(spark, d), "customer", ["activity", "product"], "Period", F.col("amount"), types, wide=wide), types
+    return features.feature_table(_events(spark, d), "customer", ["activity", "product"], "Period", F.col("amount"), types, wide=wide, population=raw), types
 
 
 def p1_feature_table(spark: SparkSession, d: str) -> DataFrame:
