@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.quantiles import weighted_quantiles
+from ledgerlens.session import materialise
 
 
 def compress(df: DataFrame, keys: dict[str, Column], value: Column) -> DataFrame:
@@ -45,6 +46,7 @@ def key_quantiles(weighted: DataFrame, probs: list[float]) -> DataFrame:
 
 def heavy_keys(profile: DataFrame, share: float) -> DataFrame:
     """(field_name, key_value) of the keys that hold at least ``share`` of all rows of their field, null keys counted in all rows only."""
+    profile = materialise(profile.select("field_name", "key_value", "n_rows"), "profile")
     total = profile.groupBy("field_name").agg(F.sum("n_rows").alias("total"))
     # one row per field: bounded by the fields asked for, not by the data
     held = profile.join(F.broadcast(total), "field_name").where(F.col("key_value").isNotNull() & (F.col("n_rows") >= F.lit(share) * F.col("total")))
