@@ -24,7 +24,7 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     third of all rows sends one row per task. ``order`` must be total for a result that doesn't depend on the layout.
     """
     w = Window.partitionBy(*[col(k) for k in keys]).orderBy(*[col(o) for o in order])
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    return df.withColumn("__keep_first_rn__", F.row_number().over(w)).where("__keep_first_rn__ = 1").drop("__keep_first_rn__")
 
 
 def removed_count(df: DataFrame, key: str) -> DataFrame:

@@ -90,6 +90,8 @@ def weighted_quantiles(values: DataFrame, group: list[str], probs: list[float],
 
     Gives (group, p, value, group_n). Ties and repeated rows count as often as they occur; a group without values has no rows.
     """
-    rows = values.where("value is not null and not isnan(value)").withColumn("bucket", log_bucket(F.col("value"), gamma))
+    if taken := set(group) & {"bucket", "p", "rank", "n", "group_n", "value", "weight"}:
+        raise ValueError(f"group columns can't be named {', '.join(sorted(taken))}")
+    rows = values.where("value is not null and not isnan(value)").select(*group, "value", "weight", log_bucket(F.col("value"), gamma).alias("bucket"))
     hist = rows.groupBy(*group, "bucket").agg(F.sum("weight").alias("n"))
     return resolve(rows, locate(hist, group, probs), group)
