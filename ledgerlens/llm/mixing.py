@@ -69,12 +69,14 @@ class Raked:
 def rake(cells: list[tuple], size: np.ndarray, targets: dict[str, float], caps: dict[str, int], rounds: int = 500, tolerance: float = 1e-9) -> Raked:
     """Factors of the cells (source, language, topic): their weighted sizes meet the source targets as far as the caps
     allow, then the languages' and topics' own shares as nearly as can be. Sources without target get factor 0."""
+    if not cells:
+        return Raked([], np.zeros(0), 0)
     total = size.sum()
     axes = [{v: i for i, v in enumerate(sorted({c[k] for c in cells}, key=lambda x: (x is None, x)))} for k in range(3)]
     at = [np.array([axes[k][c[k]] for c in cells], int) for k in range(3)]
     wanted = np.array([targets.get(s, 0.0) for s in axes[0]]) * total
-    cap = np.array([caps.get(s, 0) for s in axes[0]], float)[at[0]] if cells else np.zeros(0)
-    factor = np.where(wanted[at[0]] > 0, np.minimum(1.0, cap), 0.0) if cells else np.zeros(0)
+    cap = np.array([caps.get(s, 0) for s in axes[0]], float)[at[0]]
+    factor = np.where(wanted[at[0]] > 0, np.minimum(1.0, cap), 0.0)
     natural = [np.bincount(at[k], size, len(axes[k])) / max(total, 1) for k in (1, 2)]
     done = 0
     for done in range(1, rounds + 1):
@@ -93,7 +95,7 @@ def rake(cells: list[tuple], size: np.ndarray, targets: dict[str, float], caps:
             if (factor <= cap * (1 + 1e-12)).all():
                 break
         factor = np.minimum(factor, cap)
-        if len(factor) and np.abs(factor - before).max() < tolerance:
+        if np.abs(factor - before).max() < tolerance:
             break
     return Raked(cells, factor, done)
 
