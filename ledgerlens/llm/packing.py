@@ -25,11 +25,13 @@ RANKED = 50_000
 
 @dataclass(frozen=True)
 class LpSpec:
-    """Rounds of multiplicative weights, the share of its scarcest size that a round covers, and the learning rate."""
+    """Rounds of multiplicative weights, the share of its scarcest size that a round covers, the learning rate, and the
+    configurations that the knapsack finds for what rounding leaves; the rest is filled from the largest size down."""
 
-    rounds: int = 200
-    step: float = 0.1
+    rounds: int = 300
+    step: float = 0.5
     rate: float = 4.0
+    repairs: int = 60
 
 
 def knapsack(sizes: np.ndarray, values: np.ndarray, counts: np.ndarray, capacity: int) -> np.ndarray:
@@ -55,14 +57,22 @@ def knapsack(sizes: np.ndarray, values: np.ndarray, counts: np.ndarray, capacity
         else:
             take[order[pick[c]]] += 1
             c -= int(s[pick[c]])
-    take = np.minimum(take, counts)
+    return fill_up(np.minimum(take, counts), sizes, counts, capacity)
+
+
+def fill_up(take: np.ndarray, sizes: np.ndarray, counts: np.ndarray, capacity: int) -> np.ndarray:
+    """``take`` and, from the largest size down, as many more items as there are and fit."""
     room = capacity - int(take @ sizes)
-    for k in order[::-1]:
-        if room < s[0]:
-            break
-        more = min(room // int(sizes[k]), int(counts[k] - take[k]))
-        take[k] += more
-        room -= more * int(sizes[k])
+    order = np.argsort(sizes)
+    s = sizes[order]
+    left = (counts - take)[order]
+    k = int(np.searchsorted(s, room, side="right")) - 1
+    while k >= 0 and room >= s[0]:
+        more = min(room // int(s[k]), int(left[k]))
+        if more:
+            take[order[k]] += more
+            room -= more * int(s[k])
+        k = min(k - 1, int(np.searchsorted(s, room, side="right")) - 1)
     return take
 
 
@@ -72,6 +82,8 @@ class Plan:
 
     capacity: int
     parts: list[tuple[int, dict[int, int]]]
+    #: containers that come from the rounded linear program
+    from_program: int = 0
 
     @property
     def containers(self) -> int:
@@ -113,21 +125,28 @@ def plan(histogram: dict[int, int], capacity: int, spec: LpSpec = LpSpec()) -> P
         if covered.min() >= 1:
             break
     left = need.copy()
-    scale = 1 / max(1.0, covered.max())
+    # as much of the fractional solution as covers no size twice
+    scale = 1 / max(covered.max(), 1e-300)
     for a, x in sorted(chosen.items(), key=lambda c: -c[1]):
         a = np.array(a)
         n = min(int(x * scale), int((left[a > 0] // a[a > 0]).min()))
         if n:
             parts.append((n, {int(s): int(k) for s, k in zip(sizes, a) if k}))
             left -= n * a
+    rounded = sum(n for n, _ in parts) - full
+    tries = 0
     while left.any():
         at = np.flatnonzero(left)
-        # a little more than in proportion to size: large items are the harder to place
-        a = knapsack(sizes[at], (sizes[at] / capacity) ** 1.05, left[at], capacity)
+        tries += 1
+        if tries <= spec.repairs:
+            # a little more than in proportion to size: large items are the harder to place
+            a = knapsack(sizes[at], (sizes[at] / capacity) ** 1.05, left[at], capacity)
+        else:
+            a = fill_up(np.zeros(len(at), np.int64), sizes[at], left[at], capacity)
         n = int((left[at][a > 0] // a[a > 0]).min())
         parts.append((n, {int(s): int(k) for s, k in zip(sizes[at], a) if k}))
         left[at] -= n * a
-    return Plan(capacity, parts)
+    return Plan(capacity, parts, rounded)
 
 
 def pack(items: DataFrame, item: str, size: str, capacity: int, spec: LpSpec = LpSpec()) -> tuple[DataFrame, Plan]:
