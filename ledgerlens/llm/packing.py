@@ -29,7 +29,7 @@ class LpSpec:
     configurations that the knapsack finds for what rounding leaves; the rest is filled from the largest size down."""
 
     rounds: int = 300
-    step: float = 0.5
+    step: float = 0.05
     rate: float = 4.0
     repairs: int = 60
 
