@@ -109,8 +109,7 @@ def _lay_out(kinds: int, wide: bool):
             a, b = np.searchsorted(ent, [lo, lo + step])
             h = min(step, len(names) - lo)
             block = _cells(ent[a:b] - lo, kind[a:b], n[a:b], last[a:b], total[a:b], h, kinds)
-            empty = block[0] == 0
-            flat = (pa.array(block[0]), pa.array(block[1], mask=empty).cast(pa.date32()), pa.array(block[2]))
+            flat = (pa.array(block[0]), pa.array(block[1], mask=block[1] == _NEVER).cast(pa.date32()), pa.array(block[2]))
             for k, x in enumerate(flat):
                 out[k].append(x)
         flat = [pa.concat_arrays(x) for x in out]
@@ -135,13 +134,14 @@ def event_types(events: DataFrame, kinds: list[str], max_types: int) -> list[tup
     return types if found else []
 
 
-def feature_table(events: DataFrame, entity: str, kinds: list[str], day: str, amount: Column, types: list[tuple], spec: FeatureSpec = FeatureSpec(), wide: bool = False, population: DataFrame | None = None) -> DataFrame:
+def feature_table(events: DataFrame, entity: str, kinds: list[str], day: str, amount: Column, types: list[tuple], spec: FeatureSpec = FeatureSpec(), wide: bool = False, population: DataFrame | None = None, every: bool = False, undated: bool = False) -> DataFrame:
     """One row per ``entity`` with, for each event type k of ``types``, the rows ``n``, the latest ``day`` and the total of ``amount``.
 
     ``amount`` is a bigint column, such as an unscaled decimal; null counts as 0. Rows without entity, kind or day
-    are left out. ``population`` is a cheaper table with the column ``entity`` to estimate the number of entities
-    from, which sets the number of buckets only. ``wide`` gives the columns ``n_k, last_k, total_k``; else there are
-    three arrays with an element for each type. A type an entity has no row of gets 0, null and 0. An empty table gives no rows. A total beyond
+    are left out; with ``undated`` those without day count in ``n`` and the total. ``population`` is a cheaper table with the column
+    ``entity`` to estimate the number of entities from, which sets the number of buckets; with ``every`` each non-null entity of it
+    has a row, though it may have no event. ``wide`` gives the columns ``n_k, last_k, total_k``; else there are
+    three arrays with an element for each type. A type an entity has no row of gets 0, null and 0. An empty table gives no rows but those of ``every``. A total beyond
     64 bits raises OverflowError.
     """
     schema = T.StructType([T.StructField("entity", T.StringType())])
@@ -151,8 +151,11 @@ def feature_table(events: DataFrame, entity: str, kinds: list[str], day: str, am
     else:
         schema = schema.add("n", T.ArrayType(T.LongType())).add("last", T.ArrayType(T.DateType())).add("total", T.ArrayType(T.LongType()))
     spark = events.sparkSession
+    if every and population is None:
+        raise ValueError("every needs a population")
+    names = population.select(F.col(entity).cast("string").alias("entity")).where("entity is not null").distinct() if every else None
     if not types:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], schema) if names is None else names.select("entity", *(F.array().cast(f.dataType).alias(f.name) for f in schema.fields[1:]))
     entities = (events if population is None else population).agg(F.approx_count_distinct(entity, 0.05)).first()[0]
     buckets = max(1, -(-entities // spec.entities_per_bucket))
     # the sorted labels of each kind give the code of a type in mixed radix, as event_types orders them
@@ -161,8 +164,13 @@ def feature_table(events: DataFrame, entity: str, kinds: list[str], day: str, am
         labels = sorted({t[i] for t in types})
         code = code * len(labels) + F.array_position(F.array(*[F.lit(x) for x in labels]), F.col(c)).cast("int") - 1
     rows = events.select(F.col(entity).alias("entity"), code.alias("kind"), F.unix_date(F.col(day)).alias("last"), F.coalesce(amount, F.lit(0)).cast("long").alias("total"))
+    if undated:
+        rows = rows.withColumn("last", F.coalesce("last", F.lit(int(_NEVER))))
     rows = rows.where(" and ".join(f"{c} is not null" for c in ("entity", "kind", "last")))
     partial = rows.mapInArrow(_combine(len(types), spec), "entity string, kind int, n long, last int, total long")
+    if names is not None:
+        # a cell of nothing brings the entity into its bucket
+        partial = partial.unionByName(names.select("entity", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("n"), F.lit(int(_NEVER)).alias("last"), F.lit(0).cast("long").alias("total")))
     partial = partial.withColumn("bucket", F.pmod(F.xxhash64("entity"), F.lit(buckets)))
     return partial.groupBy("bucket").applyInArrow(_drop_bucket(_lay_out(len(types), wide)), schema)
 

@@ -22,21 +22,23 @@ def _events(spark: SparkSession, d: str) -> DataFrame:
         "load_seq", "JobfileNumber", "Customer", col("Activity Name (EN)").alias("activity"), col("Product Name").alias("product"), "Period", (col("Turnover in EUR") * 10000).cast("long").alias("amount")
     )
     first = keep_first(ops.where("JobfileNumber is not null"), ["JobfileNumber"], ["load_seq"])
-    return first.select(name_form(F.col("Customer")).alias("customer"), "activity", "product", "Period", "amount").where("customer is not null and activity is not null and product is not null and Period is not null")
+    return first.select(name_form(F.col("Customer")).alias("customer"), "activity", "product", "Period", "amount").where("customer is not null and activity is not null and product is not null")
 
 
-def _features(spark: SparkSession, d: str, wide: bool):
+def _features(spark: SparkSession, d: str, whole: bool):
+    """``whole``: wide, a row for every customer of operations, and operations without Period count; else only dated ones, as p1_found has it."""
     raw = table(spark, d, "operations").select(name_form(F.col("Customer")).alias("customer"), col("Activity Name (EN)").alias("activity"), col("Product Name").alias("product"))
     types = features.event_types(raw, ["activity", "product"], features.FeatureSpec.max_types)
-    return features.feature_table(_events(spark, d), "customer", ["activity", "product"], "Period", F.col("amount"), types, wide=wide, population=raw), types
+    return features.feature_table(_events(spark, d), "customer", ["activity", "product"], "Period", F.col("amount"), types, wide=whole, population=raw, every=whole, undated=whole), types
 
 
 def p1_feature_table(spark: SparkSession, d: str) -> DataFrame:
+    """A row for every customer of operations, also one without any kept operation of a known type."""
     return _features(spark, d, True)[0]
 
 
 def p1_features_long(spark: SparkSession, d: str) -> DataFrame:
-    """The filled cells of the feature table, a row each."""
+    """The filled cells of the table of dated operations, a row each."""
     wide, types = _features(spark, d, False)
     return _filled(wide, types).select("customer", "activity", "product", "n", "last", (F.col("total") / 10000).alias("total"))
 

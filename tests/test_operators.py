@@ -55,6 +55,21 @@ def test_feature_table(spark, wide):
         features.event_types(df, ["k1", "k2"], 5)
 
 
+@pytest.mark.parametrize("wide", [False, True])
+def test_feature_table_has_every_entity(spark, wide):
+    rows = [("a", "x", dt.date(2024, 1, 1), 5), ("a", "x", None, 7), ("b", "y", None, None), ("c", None, dt.date(2024, 1, 1), 1), (None, "x", None, 1)]
+    df = spark.createDataFrame(rows, "who string, k string, day date, amount long")
+    people = spark.createDataFrame([("a",), ("a",), ("b",), ("c",), ("d",), (None,)], "who string")
+    types = [("x",), ("y",)]
+    table = lambda df, types, **k: features.feature_table(df, "who", ["k"], "day", F.col("amount"), types, features.FeatureSpec(entities_per_bucket=2), wide, people, **k)
+    cells = lambda r: [(r[f"n_{k}"], r[f"last_{k}"], r[f"total_{k}"]) if wide else (r.n[k], r.last[k], r.total[k]) for k in (0, 1)]
+    none = (0, None, 0)
+    got = sorted((r.entity, cells(r)) for r in table(df, types, every=True, undated=True).collect())
+    assert got == [("a", [(2, dt.date(2024, 1, 1), 12), none]), ("b", [none, (1, None, 0)]), ("c", [none, none]), ("d", [none, none])]
+    assert [(r.entity, cells(r)) for r in table(df, types).collect()] == [("a", [(1, dt.date(2024, 1, 1), 5), none])]
+    assert sorted(r.entity for r in table(df.limit(0), types, every=True).collect()) == sorted(r.entity for r in table(df, [], every=True).collect()) == ["a", "b", "c", "d"]
+
+
 @pytest.mark.parametrize("limit", [100_000, 20])
 def test_quantiles_and_narrowing(spark, monkeypatch, limit):
     monkeypatch.setattr(quantiles, "SPAN_VALUES", limit)

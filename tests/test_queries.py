@@ -35,3 +35,17 @@ def test_entry_contract(spark):
 
     assert set(e.oracle_sql()) <= set(e.queries())
     assert e.entry(spark).columns[0] == "segment"
+
+
+def test_feature_table_of_all_customers(spark):
+    d = DATA / "sf0.001"
+    if not d.exists():
+        pytest.skip("no test data")
+    import duckdb
+
+    ops, name = f"'{d}/operations.parquet'", data.sql_name("Customer")
+    kept = f"""(select * from (select *, row_number() over (partition by "JobfileNumber" order by load_seq) as rn from {ops} where "JobfileNumber" is not null) where rn = 1)"""
+    customers, n = duckdb.sql(f"select (select count(distinct {name}) from {ops}), (select count(*) from {kept} where {name} is not null and \"Activity Name (EN)\" is not null and \"Product Name\" is not null)").fetchall()[0]
+    rows = data.p1_feature_table(spark, str(d)).toPandas()
+    assert len(rows) == rows.entity.nunique() == customers
+    assert rows[[c for c in rows if c.startswith("n_")]].to_numpy().sum() == n
