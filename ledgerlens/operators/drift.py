@@ -116,7 +116,10 @@ def _renames(new: dict[str, np.ndarray], gone: dict[str, np.ndarray]) -> dict[st
 
 
 class _Series:
-    """State of one series: for each present field its first name, last known type and profile over all files so far."""
+    """State of one series: for each present field its first name, last known type and profile over all files so far.
+
+    No two present fields share a first name: one added under a name that a renamed field had first gets a number.
+    """
 
     def __init__(self) -> None:
         self.fields: dict[str, dict] | None = None
@@ -127,13 +130,21 @@ class _Series:
         before = self.fields or {}
         gone = {m: f["looks"] for m, f in before.items() if m not in now}
         renamed = _renames({n: c[1] for n, (_, c) in now.items() if n not in before}, gone)
+        added = [n for n in now if n not in before and n not in renamed]
+        taken = {before[n if n in before else renamed[n]]["first"] for n in now if n not in added}
+        first = {n: n for n in added if n not in taken}
+        taken |= set(first)
+        for n in added:
+            if n not in first:
+                first[n] = next(x for x in (f"{n}.{k}" for k in range(1, len(taken) + 2)) if x not in taken)
+                taken.add(first[n])
         rows, fields = [], {}
         for n, (pos, (kind, looks_)) in now.items():
             former = n if n in before else renamed.get(n)
             if former is None:
-                fields[n] = {"first": n, "type": kind, "looks": looks_}
+                fields[n] = {"first": first[n], "type": kind, "looks": looks_}
                 if self.fields is not None:
-                    rows.append((pos, n, n, None, "added", None, kind))
+                    rows.append((pos, n, first[n], None, "added", None, kind))
             else:
                 old = before[former]
                 fields[n] = {"first": old["first"], "type": kind or old["type"], "looks": old["looks"] + looks_}
@@ -219,7 +230,6 @@ class Drift:
     def unified(self) -> DataFrame:
         """All data lines in the union schema: file_id, row_no, then a column for each field under its first name in its series."""
         schema = self.union_schema()
-        # of two columns of a file that go back to one first name, the leftmost counts
         where = self.log().where("change_kind is null").groupBy("file", "first_name").agg(F.min("pos").alias("pos"))
         where = where.groupBy("file").agg(F.map_from_entries(F.collect_list(F.struct("first_name", "pos"))).alias("pos"))
         lines = self.body().join(where, "file").withColumn("v", F.from_json("cells", "array<string>"))

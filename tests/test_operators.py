@@ -156,6 +156,23 @@ def test_drift(spark):
     assert none.changes().count() == 0 and none.unified().count() == 0
 
 
+def test_drift_keeps_a_field_added_under_a_former_name(spark):
+    firms = [f"{a} {b} LTD" for a in ("ALPHA", "BETA", "GAMMA") for b in ("FOODS", "METALS")]
+    files = {
+        1: [["Customer", "Year"], *[[f, 2024] for f in firms]],
+        2: [["Client", "Year"], *[[f, 2024] for f in firms]],
+        3: [["Customer", "Client", "Year", "Customer.1"], *[[k * 1.5, f, 2024, True] for k, f in enumerate(firms)]],
+        4: [["Client", "Customer", "Year"], *[[f, k * 1.5, 2024] for k, f in enumerate(firms)]],
+    }
+    d = _extract(spark, files)
+    log = sorted((r.file_id, r.field_name, r.change_kind, r.first_name) for r in d.changes().collect())
+    assert log == [(2, "CLIENT", "renamed", "CUSTOMER"), (3, "CUSTOMER", "added", "CUSTOMER.2"), (3, "CUSTOMER.1", "added", "CUSTOMER.1"), (4, "CUSTOMER.1", "removed", "CUSTOMER.1")]
+    assert dict(d.union_schema()) == {"CUSTOMER": "text", "CUSTOMER.1": "boolean", "CUSTOMER.2": "number", "YEAR": "integer"}
+    rows = [tuple(r) for r in d.unified().orderBy("file_id", "row_no").collect()]
+    wanted = [(f, k + 1, firm, True if f == 3 else None, k * 1.5 if f > 2 else None, 2024) for f in files for k, firm in enumerate(firms)]
+    assert rows == wanted
+
+
 def test_lattice():
     kinds = [None, drift.BOOL, drift.INT, drift.NUM, drift.TEXT]
     for a in kinds:
