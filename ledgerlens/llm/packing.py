@@ -1,9 +1,10 @@
 """Filling containers of fixed capacity: a configuration linear program over the histogram of sizes.
 
 A configuration says how many items of each size share a container. The linear program covers all items with as few
-containers as possible; multiplicative weights solve it, a knapsack dynamic program over the capacity finds the
-configuration of greatest weight in each round. Its solution is rounded down and what is left packed by the same
-knapsack. The histogram has at most ``capacity`` sizes whatever the number of items; items are then given their
+containers as possible. In each round a knapsack dynamic program over the capacity prices the sizes not covered yet and
+gives the best configuration with each of them; those near the best of all are used as far as their sizes are needed.
+No size is covered twice and all are at the end, at the latest after a round for each size and step; the plan tells how far the
+solution is from the dual bound. It is rounded down and what is left packed by the same knapsack. The histogram has at most ``capacity`` sizes whatever the number of items; items are then given their
 places by their rank among those of their size, in parallel.
 """
 
@@ -25,22 +26,20 @@ RANKED = 50_000
 
 @dataclass(frozen=True)
 class LpSpec:
-    """Rounds of multiplicative weights, the share of its scarcest size that a round covers, the learning rate, and the
-    configurations that the knapsack finds for what rounding leaves; the rest is filled from the largest size down."""
-
-    rounds: int = 300
-    step: float = 0.05
-    rate: float = 4.0
+    """``steps``: the share of a size that a round covers at most, tried in turn until the solution is within ``tolerance`` of the dual
+    bound, else the best counts. ``near``: how far below the best value of a round a configuration may be. ``rate`` weights sizes down
+    as their coverage gets ahead. ``repairs``: the configurations that the knapsack finds for what rounding leaves; the rest is filled
+    from the largest size down."""
+
+    steps: tuple[float, ...] = (1.0, 0.5, 0.25)
+    tolerance: float = 0.01
+    near: float = 0.02
+    rate: float = 1.0
     repairs: int = 60
 
 
-def knapsack(sizes: np.ndarray, values: np.ndarray, counts: np.ndarray, capacity: int) -> np.ndarray:
-    """How many of each size to take for the greatest value within the capacity, none more often than it occurs.
-
-    The program takes sizes without limit; counts are cut to what there is, and the room so freed is filled from the largest size down.
-    """
-    order = np.argsort(sizes)
-    s, v = sizes[order], values[order]
+def _best(s: np.ndarray, v: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Greatest value within each capacity and the item taken last for it, -1 for none; sizes ascend and occur without limit."""
     best, pick = np.zeros(capacity + 1), np.full(capacity + 1, -1, np.int64)
     ends = np.searchsorted(s, np.arange(capacity + 1), side="right")
     for c in range(1, capacity + 1):
@@ -50,6 +49,17 @@ def knapsack(sizes: np.ndarray, values: np.ndarray, counts: np.ndarray, capacity
             k = int(g.argmax())
             if g[k] > best[c]:
                 best[c], pick[c] = g[k], k
+    return best, pick
+
+
+def knapsack(sizes: np.ndarray, values: np.ndarray, counts: np.ndarray, capacity: int) -> np.ndarray:
+    """How many of each size to take for the greatest value within the capacity, none more often than it occurs.
+
+    The program takes sizes without limit; counts are cut to what there is, and the room so freed is filled from the largest size down.
+    """
+    order = np.argsort(sizes)
+    s = sizes[order]
+    _, pick = _best(s, values[order], capacity)
     take, c = np.zeros(len(sizes), np.int64), capacity
     while c > 0:
         if pick[c] < 0:
@@ -76,6 +86,44 @@ def fill_up(take: np.ndarray, sizes: np.ndarray, counts: np.ndarray, capacity: i
     return take
 
 
+def cover(sizes: np.ndarray, need: np.ndarray, capacity: int, step: float, spec: LpSpec) -> tuple[dict[tuple, float], float]:
+    """(configurations as ((size number, items), ...) with how often each is used, dual bound): all of ``need``, exactly. Sizes ascend."""
+    left = need.astype(float)
+    chosen: dict[tuple, float] = {}
+    bound = float(need @ sizes) / capacity
+    while len(at := np.flatnonzero(left)):
+        s, covered = sizes[at], 1 - left[at] / need[at]
+        # dual prices: a size's share of the capacity, weighted down as its coverage gets ahead
+        price = s / capacity * np.exp(-spec.rate * (covered - covered.min()))
+        best, pick = _best(s, price, capacity)
+        bound = max(bound, float(need[at] @ price) / best[capacity])
+        room = np.minimum(step * need[at], left[at])
+        value = price + best[capacity - s]
+        for j in np.lexsort((-s, covered)):
+            if value[j] < (1 - spec.near) * best[capacity] or room[j] <= 0:
+                continue
+            take, c = {int(j): 1}, capacity - int(s[j])
+            while c > 0:
+                if (k := int(pick[c])) < 0:
+                    c -= 1
+                else:
+                    take[k] = take.get(k, 0) + 1
+                    c -= int(s[k])
+            take = {k: min(n, int(need[at[k]])) for k, n in take.items()}
+            x, least = min((room[k] / n, k) for k, n in take.items())
+            if x <= 0:
+                continue
+            for k, n in take.items():
+                room[k] = 0 if k == least else max(0.0, room[k] - x * n)
+                i = at[k]
+                left[i] = max(0.0, left[i] - x * n)
+                if left[i] <= 1e-9 * need[i]:
+                    left[i] = room[k] = 0
+            key = tuple(sorted((int(at[k]), n) for k, n in take.items()))
+            chosen[key] = chosen.get(key, 0.0) + x
+    return chosen, bound
+
+
 @dataclass
 class Plan:
     """Configurations as (count of containers, {size: items}), in container order."""
@@ -84,6 +132,8 @@ class Plan:
     parts: list[tuple[int, dict[int, int]]]
     #: containers that come from the rounded linear program
     from_program: int = 0
+    #: by what share the linear program's solution, which covers all items, exceeds its dual bound
+    gap: float = 0.0
 
     @property
     def containers(self) -> int:
@@ -112,27 +162,23 @@ def plan(histogram: dict[int, int], capacity: int, spec: LpSpec = LpSpec()) -> P
     if not len(sizes):
         return Plan(capacity, parts)
     need = np.array([histogram[int(s)] for s in sizes], np.int64)
-    covered = np.zeros(len(sizes))
-    chosen: dict[tuple, float] = {}
-    for _ in range(spec.rounds):
-        # dual prices: a size's share of the capacity, weighted down as its coverage gets ahead
-        price = sizes / capacity * np.exp(-spec.rate * (covered - covered.min()))
-        a = knapsack(sizes, price, need, capacity)
-        used = a > 0
-        amount = spec.step * float((need[used] / a[used]).min())
-        covered += amount * a / need
-        chosen[tuple(a)] = chosen.get(tuple(a), 0.0) + amount
-        if covered.min() >= 1:
+    chosen, total, gap, bound = {}, 0.0, 0.0, 0.0
+    for step in spec.steps:
+        found, least = cover(sizes, need, capacity, step, spec)
+        used = sum(found.values())
+        if not chosen or used < total:
+            chosen, total = found, used
+        bound = max(bound, least)
+        gap = total / bound - 1
+        if gap <= spec.tolerance:
             break
     left = need.copy()
-    # as much of the fractional solution as covers no size twice
-    scale = 1 / max(covered.max(), 1e-300)
-    for a, x in sorted(chosen.items(), key=lambda c: -c[1]):
-        a = np.array(a)
-        n = min(int(x * scale), int((left[a > 0] // a[a > 0]).min()))
+    for config, x in sorted(chosen.items(), key=lambda c: (-c[1], c[0])):
+        n = min([int(x + 1e-6), *(int(left[i] // k) for i, k in config)])
         if n:
-            parts.append((n, {int(s): int(k) for s, k in zip(sizes, a) if k}))
-            left -= n * a
+            parts.append((n, {int(sizes[i]): k for i, k in config}))
+            for i, k in config:
+                left[i] -= n * k
     rounded = sum(n for n, _ in parts) - full
     tries = 0
     while left.any():
@@ -146,7 +192,7 @@ def plan(histogram: dict[int, int], capacity: int, spec: LpSpec = LpSpec()) -> P
         n = int((left[at][a > 0] // a[a > 0]).min())
         parts.append((n, {int(s): int(k) for s, k in zip(sizes[at], a) if k}))
         left[at] -= n * a
-    return Plan(capacity, parts, rounded)
+    return Plan(capacity, parts, rounded, gap)
 
 
 def pack(items: DataFrame, item: str, size: str, capacity: int, spec: LpSpec = LpSpec()) -> tuple[DataFrame, Plan]:

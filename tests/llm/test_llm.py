@@ -184,6 +184,27 @@ def test_packing_edges(spark):
         packing.pack(df, "item", "size", 0)
 
 
+def test_program_covers_rare_sizes():
+    rng = random.Random(8)
+    histogram = {s: rng.randrange(1, 8) for s in rng.sample(range(5, 250), 200)}
+    sizes = np.array(sorted(histogram))
+    need = np.array([histogram[s] for s in sizes.tolist()])
+    chosen, bound = packing.cover(sizes, need, 500, 1.0, packing.LpSpec())
+    covered = np.zeros(len(sizes))
+    for config, x in chosen.items():
+        assert x > 0 and sum(int(sizes[i]) * k for i, k in config) <= 500
+        for i, k in config:
+            covered[i] += k * x
+    assert covered == pytest.approx(need) and bound >= need @ sizes / 500
+    made = packing.plan(histogram, 500)
+    assert 0 <= made.gap <= packing.LpSpec().tolerance and made.from_program > made.containers / 4
+    placed = Counter()
+    for n, config in made.parts:
+        for s, k in config.items():
+            placed[s] += n * k
+    assert placed == histogram
+
+
 def test_knapsack_is_best():
     rng = random.Random(6)
     for _ in range(20):
