@@ -3,7 +3,7 @@
 A string within ``tau`` edits of an indexed one contains at least one of its tau + 1 segments at a position shifted by
 at most tau, so each string is stored under (scope, length, segment number, segment), and a new string probes with the
 few of its substrings that could be such a segment. Candidates are verified by bounded edit distance. A batch probes
-the stored index and itself, and is appended; history is never read again as a whole.
+the stored index and itself, and is appended.
 
 The scope is a hash of attributes that must be equal as well. It is part of the index key, so that a segment that
 a third of all numbers share leads to strings of the same scope only; and a scope with one distinct string is never probed.
@@ -119,8 +119,9 @@ def repeats(rows: DataFrame, tau: int = TAU) -> DataFrame:
 class BatchIndex:
     """The history of accepted batches as tables in a folder; each batch is checked against them and appended.
 
-    ``check`` costs probes of the batch against stored segments; history is read through joins on index keys only.
-    Links found later between earlier classes are appended too, and the first row of a class follows from them.
+    ``check`` costs probes of the batch against stored segments, and reads all stored segments and links.
+    Links found later between earlier classes are appended too, and the first row of a class follows from them; rows of
+    earlier batches whose first row changes by that are not reported.
     """
 
     def __init__(self, spark, path: str, tau: int = TAU) -> None:
