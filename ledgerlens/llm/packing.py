@@ -34,7 +34,7 @@ class LpSpec:
     steps: tuple[float, ...] = (1.0, 0.5, 0.25)
     tolerance: float = 0.01
     near: float = 0.02
-    rate: float = 1.0
+    rate: float = 4.0
     repairs: int = 60
 
 
