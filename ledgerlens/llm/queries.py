@@ -118,23 +118,25 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return p9_report(spark, d).where("short and target_share > 0").select("source")
 
 
-def _scored(spark: SparkSession, d: str) -> DataFrame:
+def _scored(spark: SparkSession, d: str) -> tuple[DataFrame, float]:
     docs = _spread(table(spark, d, "documents").select("doc_id", "source", "text"))
     reviewed = abuse.examples_of(table(spark, d, "review_examples"), "example_id", "example_text", "verdict")
     return abuse.score_corpus(docs, "text", *reviewed)
 
 
 def p10_scores(spark: SparkSession, d: str) -> DataFrame:
-    return _scored(spark, d).select("doc_id", "score")
+    return _scored(spark, d)[0].select("doc_id", "score")
 
 
 def p10_rates(spark: SparkSession, d: str) -> DataFrame:
     """Flagged texts per source."""
-    return abuse.rates(_scored(spark, d), F.lower(F.trim("source")), abuse.THRESHOLD)
+    scored, threshold = _scored(spark, d)
+    return abuse.rates(scored, F.lower(F.trim("source")), threshold)
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
-    return _scored(spark, d).where(F.col("score") > abuse.THRESHOLD).select("doc_id")
+    scored, threshold = _scored(spark, d)
+    return scored.where(F.col("score") > threshold).select("doc_id")
 
 
 QUERIES = {f.__name__: f for f in (p2_found, p2_percentiles, p2_exact_percentiles, p3_found, p5_found, p8_found, p8_containers, p8_fill, p9_found, p9_mixture, p9_report, p10_found, p10_scores, p10_rates)}

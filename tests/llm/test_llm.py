@@ -282,32 +282,49 @@ def _reviewed(spark):
 
 
 def test_held_out_accuracy(spark):
+    """Three folds of the reviewed texts, each scored as a corpus of its own by machines that were trained on the others."""
     texts, bad = _reviewed(spark)
-    spec = abuse.FmSpec(machines=3)
-    hidden = np.random.default_rng(9).random(len(texts)) < 0.25
-    # how common a term is: here from the texts at hand
-    def shares(m):
-        out = np.zeros(m.linear.shape[1])
-        for t in texts:
-            out[np.unique(m.rows([t])[0])] += 1 / len(texts)
-        return out / 10
-
-    m = abuse.train([t for t, h in zip(texts, hidden) if not h], [b for b, h in zip(bad, hidden) if not h], spec, shares)
-    got = m.score_texts([t for t, h in zip(texts, hidden) if h]) > abuse.THRESHOLD
-    true = np.array(bad)[hidden]
-    # about one verdict in twenty is wrong
-    assert (got == true).mean() > 0.75 and (got & true).sum() / max(1, got.sum()) > 0.8
+    fold = np.random.default_rng(9).permutation(len(texts)) % 3
+    hits = found = true = 0
+    for k in range(3):
+        own = spark.createDataFrame([(i, texts[i]) for i in np.flatnonzero(fold == k).tolist()], "i int, text string")
+        scored, threshold = abuse.score_corpus(own, "text", [t for t, f in zip(texts, fold) if f != k], [b for b, f in zip(bad, fold) if f != k], abuse.FmSpec(bits=20, common=0.05))
+        flagged = {r.i for r in scored.where(F.col("score") > threshold).collect()}
+        real = {i for i in np.flatnonzero(fold == k).tolist() if bad[i]}
+        hits, found, true = hits + len(flagged & real), found + len(flagged), true + len(real)
+    # 0.85 and 0.79: about one verdict in twenty is wrong, and a fold has few texts to learn new words from; many are abusive, so a term of them is common
+    assert hits / true > 0.8 and hits / found > 0.75
+
+
+def test_threshold_of_best_expected_f():
+    at = np.array(abuse.GRID)
+    flagged, found = 0.02 * np.exp(-at / 3) + 0.05 * np.exp(-at / 0.1), np.exp(-at / 3)
+    f = 2 * 0.02 * found / (flagged + 0.02)
+    chosen = abuse.choose_threshold(flagged, found)
+    assert f[int(round(chosen / 0.05)) - 1] > f.max() - 0.01
+    assert abuse.choose_threshold(flagged * 0, found) == 1.0 and abuse.choose_threshold(flagged, found * 0) == 1.0
+
+
+def test_corpus_teaches_new_words(spark):
+    """A word that stands only where texts are abusive anyway is found where it stands alone; one that stands everywhere isn't."""
+    texts = ["you useless idiot"] * 6 + ["you rotten idiot"] * 6 + ["the container came late"] * 12
+    docs = [f"you useless idiot zorbo {i}" for i in range(8)] + ["such a zorbo"] + [f"the container came late with vessel {w}" for w in ("alpha", "beta", "gamma")] * 8
+    df = spark.createDataFrame(list(enumerate(docs)), "i int, text string")
+    scored, threshold = abuse.score_corpus(df, "text", texts, [True] * 12 + [False] * 12, abuse.FmSpec(bits=18, machines=2, common=1.0, threshold=1.0))
+    assert {r.i for r in scored.where(F.col("score") > threshold).collect()} == set(range(9))
 
 
 def test_scores_of_a_corpus(spark):
     texts, bad = _reviewed(spark)
     docs = [texts[bad.index(False)], next(t for t, b in zip(texts, bad) if b and "idiot" in t), "", None, "12 34", "x y z", "fine. " * 50_000 + "You are a useless idiot, clerk."]
     df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(docs)], "i int, text string, score string")
-    rows = abuse.score_corpus(df, "text", texts, bad, abuse.FmSpec(machines=1, rounds=8)).orderBy("i").collect()
+    small = abuse.FmSpec(machines=1, rounds=8, bits=18, threshold=0.4, common=0.5)
+    scored, threshold = abuse.score_corpus(df, "text", texts, bad, small)
+    rows = scored.orderBy("i").collect()
     assert [r.i for r in rows] == list(range(7)) and [r.score is None for r in rows] == [False, False, True, True, True, False, False]
-    assert rows[5].score == 0 and rows[1].score > rows[0].score and rows[6].score > 0.4
-    assert all(r.score is None or r.score == 0 for r in abuse.score_corpus(df, "text", texts[:1], bad[:1]).collect())
-    assert abuse.score_corpus(df.limit(0), "text", texts, bad, abuse.FmSpec(machines=1, rounds=1)).count() == 0
+    assert threshold == 0.4 and rows[1].score > rows[0].score and rows[5].score <= threshold < rows[6].score
+    assert all(r.score is None or r.score == 0 for r in abuse.score_corpus(df, "text", texts[:1], bad[:1])[0].collect())
+    assert abuse.score_corpus(df.limit(0), "text", texts, bad, abuse.FmSpec(machines=1, rounds=1))[0].count() == 0
     r = {x.source: x for x in abuse.rates(spark.createDataFrame([("a", 1.0), ("a", None), (None, 0.1)], "s string, score double"), F.col("s"), 0.4).collect()}
     assert r["a"].rate == 0.5 and r[None].n_flagged == 0
 
