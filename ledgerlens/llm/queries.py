@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.text import col, name_form
 from ledgerlens.llm import abuse, mixing, packing, segments, sketch, tokens, topn
 from ledgerlens.queries import table
-from ledgerlens.session import materialise
+from ledgerlens.session import materialise, scratch_path
 
 #: Tokens of a container.
 CAPACITY = 2048
@@ -62,14 +62,19 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return best.select(run.cast("int").alias("run_no"), F.regexp_replace(rest, r"^\d+:", "").alias("entity"), F.col("tie").alias("agg_id"))
 
 
-def _jobs(spark: SparkSession, d: str) -> DataFrame:
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """Every file is checked against the index of all files before it, in the order of load_seq, and appended."""
     ops = table(spark, d, "operations")
     attributes = [name_form(F.col("Customer")), F.col("Period"), col("Activity Name (EN)"), col("Product Name"), col("Turnover in EUR")]
-    return segments.keyed(ops, "load_seq", F.col("JobfileNumber"), attributes)
-
-
-def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return segments.repeats(_jobs(spark, d))
+    jobs = segments.keyed(ops, "load_seq", F.col("JobfileNumber"), attributes, keep=[col("__source_file__").alias("file")])
+    # the number of files doesn't grow with the rows
+    files = [r[0] for r in ops.groupBy(col("__source_file__").alias("file")).agg(F.min("load_seq").alias("at")).orderBy("at").collect()]
+    index = segments.BatchIndex(spark, scratch_path(spark, "history"))
+    staged = scratch_path(spark, "jobs")
+    jobs.withColumn("batch", F.array_position(F.lit(files), F.col("file")).cast("int") - 1).drop("file").write.partitionBy("batch").parquet(staged)
+    staged = spark.read.schema(segments.ROWS + ", batch int").parquet(staged)
+    index.accept_all([(k, staged.where(F.col("batch") == k)) for k in range(len(files))])
+    return index.repeats()
 
 
 def _spread(docs: DataFrame) -> DataFrame:
@@ -144,6 +149,15 @@ QUERIES = {f.__name__: f for f in (p2_found, p2_percentiles, p2_exact_percentile
 ORACLE = {
     "p2_found": P2_RANKED + ", q as (select market, max(case when rn = (n + 3) // 4 then ca end) as p25, max(case when rn = (3 * n + 3) // 4 then ca end) as p75 from o group by 1) select agg_id from o join q using (market) where ca > p75 + 6 * (p75 - p25) or ca < p25 - 6 * (p75 - p25)",
     "p2_exact_percentiles": P2_RANKED + "select market, p, ca as value, n from o, (values (0.05::double, 1), (0.25::double, 5), (0.5::double, 10), (0.75::double, 15), (0.95::double, 19)) as t(p, k) where rn = (k * n + 19) // 20",
+    "p5_found": rf"""with recursive j as (select load_seq, nullif(upper(regexp_replace("JobfileNumber", '[^\p{{L}}\p{{Nd}}]+', '', 'g')), '') as s,
+  {sql_name('Customer')} as c, "Period" as p, "Activity Name (EN)" as a, "Product Name" as r, "Turnover in EUR" as t from operations),
+ k as (select *, regexp_replace(s, '^(\p{{L}}+\d\d)0*(\d*)$', '\1\2') as canon from j where s is not null),
+ u as (select distinct s, canon, c, p, a, r, t from k where c is not null and p is not null and a is not null and r is not null and t is not null),
+ e as (select distinct x.canon as f, y.canon as g from u x join u y using (c, p, a, r, t) where x.canon <> y.canon and levenshtein(x.s, y.s) <= 2),
+ w(f, g) as (select canon, canon from k union select w.f, e.g from w join e on w.g = e.f),
+ m as (select canon, min(load_seq) as first from k group by 1),
+ o as (select w.f as canon, min(m.first) as first_seq from w join m on w.g = m.canon group by 1)
+select first_seq, load_seq as repeat_seq from k join o using (canon) where load_seq <> first_seq""",
     "p3_found": f"""with r as (select agg_id, run_no, {sql_name('Reporting Entity Label')} as entity, {sql_name('Customer')} as c, "CA_EUR" as ca from client_aggregates),
  o as (select *, row_number() over (partition by run_no, entity, c order by ca desc, agg_id) as k from r where entity is not null and c is not null and ca is not null and not isnan(ca)),
  t as (select *, row_number() over (partition by run_no, entity order by ca desc, agg_id) as rk from o where k = 1)

@@ -5,19 +5,27 @@ at most tau, so each string is stored under (scope, length, segment number, segm
 few of its substrings that could be such a segment. Candidates are verified by bounded edit distance. A batch probes
 the stored index and itself, and is appended.
 
+Where very many strings share a scope, a segment that all of them have would make pairs of all of them. There strings meet by
+what is left of them after up to tau deletions instead, which strings within tau edits have in common, and few others.
+
 The scope is a hash of attributes that must be equal as well. It is part of the index key, so that a segment that
 a third of all numbers share leads to strings of the same scope only; and a scope with one distinct string is never probed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.components import components
+from ledgerlens.llm.components import components
 from ledgerlens.session import materialise
 
 TAU = 2
+#: Strings of one scope from which on they meet by deletions.
+CROWD = 500
 
 
 def number_form(c: Column) -> Column:
@@ -31,22 +39,22 @@ def canonical_form(form: Column) -> Column:
     return F.regexp_replace(form, r"^(\p{L}+\d\d)0*(\d*)$", "$1$2")
 
 
-def _starts(length: Column, tau: int) -> list[tuple[Column, Column]]:
-    """(start from 0, size) of the tau + 1 even segments of a string of that length; the last ones are longer by one."""
+def _segment(length: str, no: str, tau: int) -> tuple[str, str]:
+    """SQL of the start (from 0) and the size of segment ``no`` of the tau + 1 even segments of a string of that length; the last ones are longer by one."""
     parts = tau + 1
-    short, longer = F.floor(length / parts).cast("int"), (length % parts).cast("int")
-    return [((short * i + F.greatest(F.lit(0), i - (parts - longer))).cast("int"), (short + (F.lit(i) >= parts - longer).cast("int")).cast("int")) for i in range(parts)]
+    longer = f"({no} - ({parts} - ({length}) % {parts}))"
+    return f"cast(({length}) div {parts} * {no} + greatest(0, {longer}) as int)", f"cast(({length}) div {parts} + if({longer} >= 0, 1, 0) as int)"
 
 
-def index_entries(strings: DataFrame, tau: int = TAU) -> DataFrame:
-    """(scope, s, len, seg_no, seg) for each of the tau + 1 segments of every string."""
-    n = F.length("s")
-    entries = F.array(*[F.struct(F.lit(i).alias("seg_no"), F.col("s").substr(at + 1, size).alias("seg")) for i, (at, size) in enumerate(_starts(n, tau))])
-    return strings.select("scope", "s", n.alias("len"), F.explode(entries).alias("e")).select("scope", "s", "len", "e.seg_no", "e.seg")
+def segments_of(tau: int = TAU) -> Column:
+    """The tau + 1 segments of the string s, in order."""
+    at, size = _segment("length(s)", "i", tau)
+    return F.expr(f"transform(sequence(0, {tau}), i -> substring(s, {at} + 1, {size}))")
 
 
-def _substring(length: Column, seg_no: int, size: Column):
-    return lambda at: F.struct(length.cast("int").alias("len"), F.lit(seg_no).alias("seg_no"), F.substring(F.col("s"), at + 1, size).alias("seg"))
+def index_entries(strings: DataFrame) -> DataFrame:
+    """(scope, s, len, seg_no, seg) for each of the segments of every (scope, s, segments)."""
+    return strings.select("scope", "s", F.length("s").alias("len"), F.posexplode("segments").alias("seg_no", "seg"))
 
 
 def probe_entries(strings: DataFrame, tau: int = TAU) -> DataFrame:
@@ -55,17 +63,14 @@ def probe_entries(strings: DataFrame, tau: int = TAU) -> DataFrame:
     Position windows come from both ends: the i-th segment can shift left by at most i edits counted from the left, and
     what is left of tau counts from the right end.
     """
-    n = F.length("s")
-    probes = []
-    for d in range(-tau, tau + 1):
-        other = n + d
-        for i, (at, size) in enumerate(_starts(other, tau)):
-            # multi-match-aware window: |shift| <= i from the left, |shift - (n - other)| <= tau - i from the right
-            lo = F.greatest(F.lit(0), at - i, at - d - (tau - i))
-            hi = F.least(n - size, at + i, at - d + (tau - i))
-            starts = F.when((other > 0) & (lo <= hi), F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
-            probes.append(F.transform(starts, _substring(other, i, size)))
-    return strings.select("scope", "s", F.explode(F.array_distinct(F.concat(*probes))).alias("e")).select("scope", "s", "e.len", "e.seg_no", "e.seg")
+    n, other = "length(s)", "length(s) + d"
+    at, size = _segment(other, "i", tau)
+    lo = f"greatest(0, {at} - i, {at} - d - ({tau} - i))"
+    hi = f"least({n} - {size}, {at} + i, {at} - d + ({tau} - i))"
+    window = f"if({other} > 0 and {lo} <= {hi}, sequence({lo}, {hi}), cast(array() as array<int>))"
+    entry = f"struct({other} as len, i as seg_no, substring(s, at + 1, {size}) as seg)"
+    every = f"transform(sequence(-{tau}, {tau}), d -> flatten(transform(sequence(0, {tau}), i -> transform({window}, at -> {entry}))))"
+    return strings.select("scope", "s", F.expr(f"explode(array_distinct(flatten({every})))").alias("e")).select("scope", "s", "e.len", "e.seg_no", "e.seg")
 
 
 def similar_pairs(new: DataFrame, index: DataFrame, tau: int = TAU) -> DataFrame:
@@ -74,40 +79,43 @@ def similar_pairs(new: DataFrame, index: DataFrame, tau: int = TAU) -> DataFrame
     return hits.where(F.levenshtein("s", "t", tau) >= 0)
 
 
-def _crowded(rows: DataFrame) -> DataFrame:
-    """The distinct (scope, s) of scopes with more than one string. Fixed-width aggregates, combined before the shuffle."""
+def remnants(strings: DataFrame, tau: int = TAU) -> DataFrame:
+    """(scope, s, rest): what is left of each string after up to ``tau`` deletions, hashed."""
+    levels = ["array(s)"]
+    for _ in range(tau):
+        levels.append(f"array_distinct(flatten(transform({levels[-1]}, x -> transform(sequence(1, greatest(1, length(x))), k -> concat(substring(x, 1, k - 1), substring(x, k + 1))))))")
+    return strings.select("scope", "s", F.expr(f"explode(array_distinct(transform(concat({', '.join(levels)}), x -> xxhash64(x))))").alias("rest"))
+
+
+def near(new: DataFrame, known: DataFrame, tau: int = TAU, crowd: int = CROWD) -> DataFrame:
+    """(s, t): strings of ``new`` (scope, s) and of ``known`` (scope, s, segments) that share a scope, within ``tau`` edits, t not s. Scopes with one string are never probed."""
     h = F.xxhash64("s")
-    many = rows.where("scope is not null").groupBy("scope").agg(F.min(h).alias("lo"), F.max(h).alias("hi")).where("lo <> hi").select("scope")
-    return rows.where("scope is not null").select("scope", "s").join(many, "scope", "left_semi").distinct()
+    sizes = known.groupBy("scope").agg(F.min(h).alias("lo"), F.max(h).alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("scope", (F.col("n") > crowd).alias("many"))
+    mine, theirs = new.join(sizes, "scope"), known.join(sizes, "scope")
+    pairs = similar_pairs(mine.where("not many"), index_entries(theirs.where("not many")), tau).select("s", "t")
+    met = remnants(mine.where("many"), tau).join(remnants(theirs.where("many"), tau).withColumnRenamed("s", "t"), ["scope", "rest"]).where("s <> t").select("s", "t").distinct()
+    return pairs.unionByName(met.where(F.levenshtein("s", "t", tau) >= 0))
 
 
-def keyed(df: DataFrame, seq: str, number: Column, attributes: list[Column]) -> DataFrame:
-    """(seq, s, canon, scope) of the rows with a number; scope is null where an attribute is missing."""
+def keyed(df: DataFrame, seq: str, number: Column, attributes: list[Column], keep: list[Column] = []) -> DataFrame:
+    """(seq, s, canon, scope) of the rows with a number, and the columns ``keep``; scope is null where an attribute is missing."""
     all_there = F.lit(True)
     for a in attributes:
         all_there = all_there & a.isNotNull()
     scope = F.when(all_there, F.xxhash64(*attributes))
-    rows = df.select(F.col(seq).cast("long").alias("seq"), number_form(number).alias("s"), scope.alias("scope"))
+    rows = df.select(F.col(seq).cast("long").alias("seq"), number_form(number).alias("s"), scope.alias("scope"), *keep)
     return rows.where("s is not null and seq is not null").withColumn("canon", canonical_form(F.col("s")))
 
 
-def _edges(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of strings to (a, b), the first rows of their classes."""
-    ends = pairs.select(canonical_form(F.col("s")).alias("canon"), canonical_form(F.col("t")).alias("other")).where("canon <> other").select(F.least("canon", "other").alias("canon"), F.greatest("canon", "other").alias("other")).distinct()
-    one = ends.join(classes.select("canon", F.col("first").alias("a")), "canon")
-    return one.join(classes.select(F.col("canon").alias("other"), F.col("first").alias("b")), "other").select("a", "b")
-
-
-def repeats(rows: DataFrame, tau: int = TAU) -> DataFrame:
+def repeats(rows: DataFrame, links: DataFrame) -> DataFrame:
     """(first_seq, repeat_seq) of ``keyed`` rows: every row but the first of the rows that are the same operation.
 
-    Rows agree if their canonical numbers are equal, or if they share a scope and their numbers are within tau edits;
-    this carries over from row to row. Rows without letter or digit in their number are no rows of an operation. Two
-    scopes of equal 64-bit hash would be taken for one. An empty table gives no rows.
+    Rows agree if their canonical numbers are equal, or if ``links`` (canon, other) joins these; this carries over from row to row.
     """
     classes = materialise(rows.groupBy("canon").agg(F.min("seq").alias("first"), F.count("*").alias("n")), "classes")
-    nodes = materialise(_crowded(rows), "strings")
-    edges = _edges(similar_pairs(nodes, index_entries(nodes, tau), tau), classes)
+    ends = links.select(F.least("canon", "other").alias("canon"), F.greatest("canon", "other").alias("other")).distinct()
+    firsts = classes.select("canon", "first")
+    edges = ends.join(firsts.withColumnRenamed("first", "a"), "canon").join(firsts.select(F.col("canon").alias("other"), F.col("first").alias("b")), "other").select("a", "b")
     roots = materialise(components(edges, "a", "b"), "roots")
     linked = classes.join(roots, F.col("first") == F.col("node"), "left")
     # classes of one row that is linked to no earlier one give no case, so they aren't joined back
@@ -116,43 +124,86 @@ def repeats(rows: DataFrame, tau: int = TAU) -> DataFrame:
     return found.select("first_seq", F.col("seq").alias("repeat_seq"))
 
 
+ROWS, STRINGS, LINKS = "seq long, s string, canon string, scope long", "scope long, s string, segments array<string>, bucket int", "canon string, other string"
+
+
 class BatchIndex:
-    """The history of accepted batches as tables in a folder; each batch is checked against them and appended.
+    """The history of accepted batches in a folder; each new batch is checked against all of it, and appended.
 
-    ``check`` costs probes of the batch against stored segments, and reads all stored segments and links.
-    Links found later between earlier classes are appended too, and the first row of a class follows from them; rows of
-    earlier batches whose first row changes by that are not reported.
+    Each batch has its own part of three tables: rows (seq, s, canon, scope), strings (the distinct s of a scope, with its segments in
+    order) and links (pairs of canonical numbers that are the same operation). A batch counts once its mark is written, which comes
+    last: one that broke off leaves nothing behind and may be given again. Strings lie in ``buckets`` folders by their scope, and only
+    those are read that the batch has scopes for; of these, only strings whose scope the batch has are probed. Links and rows of
+    earlier batches aren't read. So a batch costs its own size, and a scan of the probed buckets, which holds one hash a string.
     """
 
-    def __init__(self, spark, path: str, tau: int = TAU) -> None:
-        self.spark, self.path, self.tau = spark, path, tau
+    def __init__(self, spark: SparkSession, path: str, tau: int = TAU, crowd: int = CROWD, buckets: int = 1) -> None:
+        self.spark, self.path, self.tau, self.crowd, self.buckets = spark, path, tau, crowd, buckets
 
-    def _read(self, name: str, schema: str) -> DataFrame:
+    def batches(self) -> list[int]:
+        """Numbers of the batches accepted."""
         try:
-            return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
-        except Exception as e:  # noqa: BLE001
+            return sorted({r[0] for r in self.spark.read.schema("batch int").json(f"{self.path}/marks").collect()})
+        except AnalysisException as e:
             if "PATH_NOT_FOUND" in str(e):
-                return self.spark.createDataFrame([], schema)
+                return []
             raise
 
-    def check(self, batch: DataFrame) -> DataFrame:
-        """(first_seq, repeat_seq) of the batch's ``keyed`` rows against all accepted before and the batch itself; appends the batch."""
-        batch = materialise(batch, "batch")
-        classes, links = self._read("classes", "canon string, first long"), self._read("links", "a long, b long")
-        index = self._read("segments", "scope long, s string, len int, seg_no int, seg string")
-        own = batch.groupBy("canon").agg(F.min("seq").alias("first"))
-        new_classes = materialise(own.join(classes, "canon", "left_anti"), "new")
-        strings = batch.where("scope is not null").select("scope", "s").distinct()
-        known = index.select("scope", "s").distinct()
-        fresh = materialise(strings.join(known, ["scope", "s"], "left_anti"), "strings")
-        entries = materialise(index_entries(fresh, self.tau), "entries")
-        pairs = similar_pairs(fresh, index, self.tau).unionByName(similar_pairs(fresh, entries, self.tau))
-        everything = classes.unionByName(new_classes)
-        new_links = materialise(_edges(pairs, everything), "links")
-        roots = components(links.unionByName(new_links), "a", "b")
-        known_classes = everything.join(batch.select("canon").distinct(), "canon", "left_semi").join(roots, F.col("first") == F.col("node"), "left")
-        found = batch.join(known_classes.select("canon", F.coalesce("root", "first").alias("first_seq")), "canon").where("seq <> first_seq").select("first_seq", F.col("seq").alias("repeat_seq"))
-        found = materialise(found, "found")
-        for df, name in ((new_classes, "classes"), (entries, "segments"), (new_links, "links")):
-            df.write.mode("append").parquet(f"{self.path}/{name}")
-        return found
+    def _read(self, name: str, schema: str, batches: list[int]) -> DataFrame:
+        if not batches:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(f"{schema}, batch int").parquet(f"{self.path}/{name}").where(F.col("batch").isin(batches)).drop("batch")
+
+    def _write(self, df: DataFrame, name: str, batch: int, by: tuple[str, ...] = ()) -> None:
+        df.write.mode("overwrite").partitionBy(*by).parquet(f"{self.path}/{name}/batch={batch}")
+
+    def accept(self, batch: int, rows: DataFrame) -> None:
+        """Appends the ``keyed`` rows of a batch, and the links that its numbers have to those of all batches and to each other.
+
+        A batch accepted before isn't taken again. Two scopes of equal 64-bit hash would be taken for one. An empty batch is a batch.
+        """
+        self.accept_all([(batch, rows)])
+
+    def accept_all(self, batches: list[tuple[int, DataFrame]], ahead: int = 4) -> None:
+        """Accepts batches one after another: each is checked against those before it in the list, while later ones are being
+        appended already, ``ahead`` at a time. They are marked in their order."""
+        done = self.batches()
+        with ThreadPoolExecutor(ahead) as pool:
+            todo = [(k, pool.submit(self._append, k, rows)) for k, rows in batches if k not in done]
+            probes = []
+            for k, appended in todo:
+                appended.result()
+                probes.append((k, pool.submit(self._probe, k, list(done))))
+                done.append(k)
+            for k, probe in probes:
+                probe.result()
+                self.spark.createDataFrame([(k,)], "batch int").coalesce(1).write.mode("append").json(f"{self.path}/marks")
+
+    def _append(self, batch: int, rows: DataFrame) -> None:
+        self._write(rows.select("seq", "s", "canon", "scope"), "rows", batch)
+        own = self._read("rows", ROWS, [batch]).where("scope is not null").select("scope", "s")
+        bucket = F.pmod("scope", F.lit(self.buckets)).cast("int").alias("bucket")
+        self._write(own.distinct().select("scope", "s", segments_of(self.tau).alias("segments"), bucket), "strings", batch, ("bucket",))
+
+    def _probe(self, batch: int, before: list[int]) -> None:
+        new, known = self._read("strings", STRINGS, [batch]), self._read("strings", STRINGS, [*before, batch])
+        if self.buckets > 1:
+            known = known.where(F.col("bucket").isin([r[0] for r in new.select("bucket").distinct().collect()]))
+        met = known.join(new.select("scope").distinct(), "scope", "left_semi").select("scope", "s", "segments")
+        pairs = near(new.select("scope", "s"), met, self.tau, self.crowd)
+        links = pairs.select(canonical_form(F.col("s")).alias("canon"), canonical_form(F.col("t")).alias("other")).where("canon <> other").distinct()
+        self._write(links, "links", batch)
+
+    def repeats(self) -> DataFrame:
+        """(first_seq, repeat_seq) over all batches accepted. Later batches can join classes, so a row's first_seq may be lower than it was."""
+        done = self.batches()
+        return repeats(self._read("rows", ROWS, done), self._read("links", LINKS, done))
+
+    def check(self, batch: int, rows: DataFrame) -> DataFrame:
+        """Accepts a batch and gives what is new by it: the (first_seq, repeat_seq) of its own rows, and of earlier rows whose first_seq it changed.
+
+        Unlike ``accept`` this reads the rows and links of all batches.
+        """
+        before = materialise(self.repeats(), "before")
+        self.accept(batch, rows)
+        return self.repeats().exceptAll(before)

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import abuse, mixing, packing, queries, segments, sketch, tokens, topn
+from ledgerlens.llm.components import components
 from tests.conftest import DATA, against_sql
 
 
@@ -124,13 +125,47 @@ def test_repeats_and_batches(spark, tmp_path):
     df = spark.createDataFrame(rows, "seq long, job string, a string, b int").withColumn("canon", F.lit("clash"))
     keyed = segments.keyed(df, "seq", F.col("job"), [F.col("a"), F.col("b")])
     wanted = _brute(rows)
-    assert len(wanted) > 100 and {tuple(r) for r in segments.repeats(keyed).collect()} == wanted
-    assert segments.repeats(keyed.limit(0)).count() == 0
-    index = segments.BatchIndex(spark, str(tmp_path / "index"))
-    seen = set()
-    for lo, hi in ((0, 120), (120, 243)):
-        seen = {tuple(r) for r in index.check(keyed.where(f"seq >= {lo} and seq < {hi}")).collect()}
-        assert seen == {(f, r) for f, r in _brute([x for x in rows if x[0] < hi]) if r >= lo}
+    assert len(wanted) > 100
+    for buckets in (1, 4):
+        index = segments.BatchIndex(spark, str(tmp_path / f"index{buckets}"), buckets=buckets)
+        before = set()
+        for k, (lo, hi) in enumerate(((0, 120), (120, 120), (120, 243))):
+            seen = {tuple(r) for r in index.check(k, keyed.where(f"seq >= {lo} and seq < {hi}")).collect()}
+            true = _brute([x for x in rows if x[0] < hi])
+            # rows of earlier batches whose class got an earlier first row come out again
+            assert seen == true - before
+            before = true
+        assert {tuple(r) for r in index.repeats().collect()} == wanted and index.batches() == [0, 1, 2]
+        index.accept(2, keyed)  # not taken again
+        index._append(3, keyed)  # broke off before its mark
+        assert {tuple(r) for r in index.repeats().collect()} == wanted
+    together = segments.BatchIndex(spark, str(tmp_path / "together"), crowd=1)
+    together.accept_all([(k, keyed.where(f"seq % 3 = {k}")) for k in range(3)])
+    assert {tuple(r) for r in together.repeats().collect()} == wanted
+    none = segments.BatchIndex(spark, str(tmp_path / "none"))
+    assert none.repeats().count() == 0 and none.check(0, keyed.limit(0)).count() == 0
+
+
+def test_small_batch_reads_few_buckets(spark, tmp_path):
+    """The history doubles, the batches stay the same: so do the buckets read, and each has only its share of the strings."""
+    df = spark.range(4000).selectExpr("id as seq", "concat('ABCD21', lpad(id, 10, '0')) as s", "s as canon", "id % 2000 as scope")
+    index = segments.BatchIndex(spark, str(tmp_path / "index"), buckets=16)
+    index.accept_all([(k, df.where(f"seq div 1000 = {k}")) for k in range(4)])
+    new = df.where("seq < 3")
+    index._append(9, new)
+    buckets = [r[0] for r in index._read("strings", segments.STRINGS, [9]).select("bucket").distinct().collect()]
+    part = index._read("strings", segments.STRINGS, [0, 1, 2, 3]).where(F.col("bucket").isin(buckets))
+    assert len(buckets) <= 3 and len(part.inputFiles()) <= 3 * 4 * 8 and part.count() < 4000 * 4 / 16
+
+
+def test_crowded_scope_meets_by_deletions(spark):
+    rng = random.Random(5)
+    words = list({_mutate(rng, "ABCD21000012", rng.randrange(5)) for _ in range(200)})
+    df = spark.createDataFrame([(1, w) for w in words], "scope long, s string")
+    known = df.select("scope", "s", segments.segments_of().alias("segments"))
+    wanted = {frozenset((x, y)) for x in words for y in words if x < y and _distance(x, y) <= 2}
+    for crowd in (10, 10_000):
+        assert {frozenset((r.s, r.t)) for r in segments.near(df, known, crowd=crowd).collect()} == wanted
 
 
 @pytest.mark.parametrize("tau", [1, 2, 3])
@@ -138,7 +173,7 @@ def test_segment_index_finds_all_pairs(spark, tau):
     rng = random.Random(4)
     words = list({_mutate(rng, rng.choice(["ABAB0101ABAB", "0101", "A", "ABABAB01"]), rng.randrange(4)) or "B" for _ in range(150)} | {"", "A"} - {""})
     df = spark.createDataFrame([(1, w) for w in words], "scope long, s string")
-    got = {frozenset((r.s, r.t)) for r in segments.similar_pairs(df, segments.index_entries(df, tau), tau).collect()}
+    got = {frozenset((r.s, r.t)) for r in segments.similar_pairs(df, segments.index_entries(df.select("scope", "s", segments.segments_of(tau).alias("segments"))), tau).collect()}
     # a string with fewer letters than segments has an empty one, which every string of its length's neighbours shares
     assert got == {frozenset((x, y)) for x in words for y in words if x < y and _distance(x, y) <= tau}
 
@@ -261,6 +296,29 @@ def test_topics_and_tokens(spark):
     assert [r.n for r in rows] == [None if t is None else len(enc.encode_ordinary(t)) for t in text] and rows[1].n == 0 and rows[5].n > 100_000
 
 
+# ---- components ----
+
+
+def test_components(spark):
+    rng = random.Random(6)
+    edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(1000 + i, 1001 + i) for i in range(40)] + [(5000, 6000 + i) for i in range(300)] + [(7, 7)]
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    df = spark.createDataFrame([*edges, (None, 3)], "a long, b long")
+    got = {r.node: r.root for r in components(df, "a", "b").collect()}
+    linked = {x for e in edges if e[0] != e[1] for x in e}
+    assert got == {x: find(x) for x in linked if find(x) != x} or {k: v for k, v in got.items() if k != v} == {x: find(x) for x in linked if find(x) != x}
+    assert components(df.limit(0), "a", "b").count() == 0
+
+
 # ---- content ----
 
 
