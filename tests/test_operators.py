@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import aggregate as A
 from ledgerlens.operators import drift, features, history, prepare, quantiles, skew
-from ledgerlens.operators.components import components
 from ledgerlens.operators.filters import FilterSpec, apply_filters
 from ledgerlens.operators.report import distribution
 
@@ -183,26 +182,6 @@ def test_lattice():
     assert drift.promote(drift.BOOL, drift.INT) == drift.TEXT and drift.promote(drift.INT, drift.NUM) == drift.NUM
 
 
-def test_components(spark):
-    rng = random.Random(6)
-    edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(1000 + i, 1001 + i) for i in range(40)] + [(5000, 6000 + i) for i in range(300)] + [(7, 7)]
-    parent = {}
-
-    def find(x):
-        while parent.setdefault(x, x) != x:
-            x = parent[x]
-        return x
-
-    for a, b in edges:
-        a, b = find(a), find(b)
-        parent[max(a, b)] = min(a, b)
-    df = spark.createDataFrame([*edges, (None, 3)], "a long, b long")
-    got = {r.node: r.root for r in components(df, "a", "b").collect()}
-    linked = {x for e in edges if e[0] != e[1] for x in e}
-    assert got == {x: find(x) for x in linked if find(x) != x} or {k: v for k, v in got.items() if k != v} == {x: find(x) for x in linked if find(x) != x}
-    assert components(df.limit(0), "a", "b").count() == 0
-
-
 def test_prepare_and_aggregate(spark):
     df = spark.createDataFrame([("j1", 2, 2024, 1, "A", 5.0), ("j1", 1, 2024, 13, "B", 1.0), (None, 4, 2024, 2, None, None), (None, 3, None, 2, "A", float("nan"))], "JobfileNumber string, o int, Year int, Month int, Customer string, TEU double")
     once = prepare.keep_first(df, ["JobfileNumber"], ["o"])
