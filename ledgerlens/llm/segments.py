@@ -1,7 +1,7 @@
 """De-duplicating new batches against all history by a segment index for edit distance.
 
 A string within ``tau`` edits of an indexed one contains at least one of its tau + 1 segments at a position shifted by
-at most tau, so each string is stored under (scope, length, segment number, segment), and a new string probes with the
+at most tau, so each string is stored with its segments, found by (scope, length, segment number, segment), and a new string probes with the
 few of its substrings that could be such a segment. Candidates are verified by bounded edit distance. A batch probes
 the stored index and itself, and is appended.
 
@@ -52,13 +52,9 @@ def segments_of(tau: int = TAU) -> Column:
     return F.expr(f"transform(sequence(0, {tau}), i -> substring(s, {at} + 1, {size}))")
 
 
-def index_entries(strings: DataFrame) -> DataFrame:
-    """(scope, s, len, seg_no, seg) for each of the segments of every (scope, s, segments)."""
-    return strings.select("scope", "s", F.length("s").alias("len"), F.posexplode("segments").alias("seg_no", "seg"))
-
-
-def probe_entries(strings: DataFrame, tau: int = TAU) -> DataFrame:
-    """(scope, s, len, seg_no, seg): for every indexed length within tau, the substrings that can match a segment of it.
+def _probes(tau: int) -> str:
+    """SQL of the hashed (length, segment number, segment) that a string s looks for: for every indexed length within tau, the
+    substrings that can match a segment of it.
 
     Position windows come from both ends: the i-th segment can shift left by at most i edits counted from the left, and
     what is left of tau counts from the right end.
@@ -68,33 +64,29 @@ def probe_entries(strings: DataFrame, tau: int = TAU) -> DataFrame:
     lo = f"greatest(0, {at} - i, {at} - d - ({tau} - i))"
     hi = f"least({n} - {size}, {at} + i, {at} - d + ({tau} - i))"
     window = f"if({other} > 0 and {lo} <= {hi}, sequence({lo}, {hi}), cast(array() as array<int>))"
-    entry = f"struct({other} as len, i as seg_no, substring(s, at + 1, {size}) as seg)"
-    every = f"transform(sequence(-{tau}, {tau}), d -> flatten(transform(sequence(0, {tau}), i -> transform({window}, at -> {entry}))))"
-    return strings.select("scope", "s", F.expr(f"explode(array_distinct(flatten({every})))").alias("e")).select("scope", "s", "e.len", "e.seg_no", "e.seg")
-
+    entry = f"xxhash64({other}, i, substring(s, at + 1, {size}))"
+    return f"flatten(transform(sequence(-{tau}, {tau}), d -> flatten(transform(sequence(0, {tau}), i -> transform({window}, at -> {entry})))))"
 
-def similar_pairs(new: DataFrame, index: DataFrame, tau: int = TAU) -> DataFrame:
-    """(scope, s, t): strings of ``new`` (scope, s) and indexed strings t of the same scope within tau edits, t not s; each pair once."""
-    hits = probe_entries(new, tau).join(index.withColumnRenamed("s", "t"), ["scope", "len", "seg_no", "seg"]).where("s <> t").select("scope", "s", "t").distinct()
-    return hits.where(F.levenshtein("s", "t", tau) >= 0)
 
-
-def remnants(strings: DataFrame, tau: int = TAU) -> DataFrame:
-    """(scope, s, rest): what is left of each string after up to ``tau`` deletions, hashed."""
+def _remnants(tau: int) -> str:
+    """SQL of what is left of a string s after up to ``tau`` deletions, hashed."""
     levels = ["array(s)"]
     for _ in range(tau):
         levels.append(f"array_distinct(flatten(transform({levels[-1]}, x -> transform(sequence(1, greatest(1, length(x))), k -> concat(substring(x, 1, k - 1), substring(x, k + 1))))))")
-    return strings.select("scope", "s", F.expr(f"explode(array_distinct(transform(concat({', '.join(levels)}), x -> xxhash64(x))))").alias("rest"))
+    return f"transform(concat({', '.join(levels)}), x -> xxhash64(x))"
 
 
 def near(new: DataFrame, known: DataFrame, tau: int = TAU, crowd: int = CROWD) -> DataFrame:
-    """(s, t): strings of ``new`` (scope, s) and of ``known`` (scope, s, segments) that share a scope, within ``tau`` edits, t not s. Scopes with one string are never probed."""
+    """(s, t): strings of ``new`` (scope, s) and of ``known`` (scope, s, segments) that share a scope, within ``tau`` edits, t not s; each pair once.
+
+    The distinct strings of ``known`` include those of ``new``, so a scope with one string is never probed.
+    """
     h = F.xxhash64("s")
     sizes = known.groupBy("scope").agg(F.min(h).alias("lo"), F.max(h).alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("scope", (F.col("n") > crowd).alias("many"))
-    mine, theirs = new.join(sizes, "scope"), known.join(sizes, "scope")
-    pairs = similar_pairs(mine.where("not many"), index_entries(theirs.where("not many")), tau).select("s", "t")
-    met = remnants(mine.where("many"), tau).join(remnants(theirs.where("many"), tau).withColumnRenamed("s", "t"), ["scope", "rest"]).where("s <> t").select("s", "t").distinct()
-    return pairs.unionByName(met.where(F.levenshtein("s", "t", tau) >= 0))
+    indexed = "transform(segments, (x, i) -> xxhash64(length(s), i, x))"
+    keys = lambda of: F.expr(f"explode(array_distinct(if(many, {_remnants(tau)}, {of})))").alias("key")
+    mine, theirs = new.join(sizes, "scope").select("scope", "s", keys(_probes(tau))), known.join(sizes, "scope").select("scope", F.col("s").alias("t"), keys(indexed))
+    return mine.join(theirs, ["scope", "key"]).where("s <> t").select("s", "t").distinct().where(F.levenshtein("s", "t", tau) >= 0)
 
 
 def keyed(df: DataFrame, seq: str, number: Column, attributes: list[Column], keep: list[Column] = []) -> DataFrame:
@@ -164,7 +156,7 @@ class BatchIndex:
         """
         self.accept_all([(batch, rows)])
 
-    def accept_all(self, batches: list[tuple[int, DataFrame]], ahead: int = 4) -> None:
+    def accept_all(self, batches: list[tuple[int, DataFrame]], ahead: int = 2) -> None:
         """Accepts batches one after another: each is checked against those before it in the list, while later ones are being
         appended already, ``ahead`` at a time. They are marked in their order."""
         done = self.batches()

@@ -173,7 +173,7 @@ def test_segment_index_finds_all_pairs(spark, tau):
     rng = random.Random(4)
     words = list({_mutate(rng, rng.choice(["ABAB0101ABAB", "0101", "A", "ABABAB01"]), rng.randrange(4)) or "B" for _ in range(150)} | {"", "A"} - {""})
     df = spark.createDataFrame([(1, w) for w in words], "scope long, s string")
-    got = {frozenset((r.s, r.t)) for r in segments.similar_pairs(df, segments.index_entries(df.select("scope", "s", segments.segments_of(tau).alias("segments"))), tau).collect()}
+    got = {frozenset((r.s, r.t)) for r in segments.near(df, df.select("scope", "s", segments.segments_of(tau).alias("segments")), tau).collect()}
     # a string with fewer letters than segments has an empty one, which every string of its length's neighbours shares
     assert got == {frozenset((x, y)) for x in words for y in words if x < y and _distance(x, y) <= tau}
 
