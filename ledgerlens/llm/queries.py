@@ -70,10 +70,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     # the number of files doesn't grow with the rows
     files = [r[0] for r in ops.groupBy(col("__source_file__").alias("file")).agg(F.min("load_seq").alias("at")).orderBy("at").collect()]
     index = segments.BatchIndex(spark, scratch_path(spark, "history"))
-    staged = scratch_path(spark, "jobs")
-    jobs.withColumn("batch", F.array_position(F.lit(files), F.col("file")).cast("int") - 1).drop("file").write.partitionBy("batch").parquet(staged)
-    staged = spark.read.schema(segments.ROWS + ", batch int").parquet(staged)
-    index.accept_all([(k, staged.where(F.col("batch") == k)) for k in range(len(files))])
+    index.accept_all(list(range(len(files))), jobs.withColumn("batch", F.array_position(F.lit(files), F.col("file")).cast("int") - 1))
     return index.repeats()
 
 

@@ -14,14 +14,12 @@ a third of all numbers share leads to strings of the same scope only; and a scop
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.components import components
-from ledgerlens.session import materialise
+from ledgerlens.session import BROADCAST_ROWS, materialise
 
 TAU = 2
 #: Strings of one scope from which on they meet by deletions.
@@ -129,7 +127,7 @@ class BatchIndex:
     earlier batches aren't read. So a batch costs its own size, and a scan of the probed buckets, which holds one hash a string.
     """
 
-    def __init__(self, spark: SparkSession, path: str, tau: int = TAU, crowd: int = CROWD, buckets: int = 1) -> None:
+    def __init__(self, spark: SparkSession, path: str, tau: int = TAU, crowd: int = CROWD, buckets: int = 4) -> None:
         self.spark, self.path, self.tau, self.crowd, self.buckets = spark, path, tau, crowd, buckets
 
     def batches(self) -> list[int]:
@@ -146,45 +144,45 @@ class BatchIndex:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(f"{schema}, batch int").parquet(f"{self.path}/{name}").where(F.col("batch").isin(batches)).drop("batch")
 
-    def _write(self, df: DataFrame, name: str, batch: int, by: tuple[str, ...] = ()) -> None:
-        df.write.mode("overwrite").partitionBy(*by).parquet(f"{self.path}/{name}/batch={batch}")
+    def _write(self, df: DataFrame, name: str, *by: str) -> None:
+        """Replaces the batches in ``df``, so what is left of one that broke off goes."""
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", *by).parquet(f"{self.path}/{name}")
 
     def accept(self, batch: int, rows: DataFrame) -> None:
-        """Appends the ``keyed`` rows of a batch, and the links that its numbers have to those of all batches and to each other.
+        """Accepts a single batch of ``keyed`` rows."""
+        self.accept_all([batch], rows.withColumn("batch", F.lit(batch)))
+
+    def accept_all(self, batches: list[int], rows: DataFrame) -> None:
+        """Appends the ``keyed`` rows of new batches, told apart by their column batch, and in the order of ``batches`` the links that
+        the numbers of each have to those of all batches before and to each other.
 
         A batch accepted before isn't taken again. Two scopes of equal 64-bit hash would be taken for one. An empty batch is a batch.
         """
-        self.accept_all([(batch, rows)])
-
-    def accept_all(self, batches: list[tuple[int, DataFrame]], ahead: int = 2) -> None:
-        """Accepts batches one after another: each is checked against those before it in the list, while later ones are being
-        appended already, ``ahead`` at a time. They are marked in their order."""
         done = self.batches()
-        with ThreadPoolExecutor(ahead) as pool:
-            todo = [(k, pool.submit(self._append, k, rows)) for k, rows in batches if k not in done]
-            probes = []
-            for k, appended in todo:
-                appended.result()
-                probes.append((k, pool.submit(self._probe, k, list(done))))
-                done.append(k)
-            for k, probe in probes:
-                probe.result()
-                self.spark.createDataFrame([(k,)], "batch int").coalesce(1).write.mode("append").json(f"{self.path}/marks")
-
-    def _append(self, batch: int, rows: DataFrame) -> None:
-        self._write(rows.select("seq", "s", "canon", "scope"), "rows", batch)
-        own = self._read("rows", ROWS, [batch]).where("scope is not null").select("scope", "s")
+        new = [k for k in batches if k not in done]
+        if not new:
+            return
+        self._write(rows.where(F.col("batch").isin(new)).select("seq", "s", "canon", "scope", "batch"), "rows")
+        own = self.spark.read.schema(f"{ROWS}, batch int").parquet(f"{self.path}/rows").where(F.col("batch").isin(new) & F.col("scope").isNotNull())
         bucket = F.pmod("scope", F.lit(self.buckets)).cast("int").alias("bucket")
-        self._write(own.distinct().select("scope", "s", segments_of(self.tau).alias("segments"), bucket), "strings", batch, ("bucket",))
+        strings = own.select("scope", "s", bucket, "batch").repartition("batch", "bucket").distinct()
+        self._write(strings.select("scope", "s", segments_of(self.tau).alias("segments"), "bucket", "batch"), "strings", "bucket")
+        for k in new:
+            self._probe(k, done)
+            done.append(k)
+        self.spark.createDataFrame([(k,) for k in new], "batch int").coalesce(1).write.mode("append").json(f"{self.path}/marks")
 
     def _probe(self, batch: int, before: list[int]) -> None:
         new, known = self._read("strings", STRINGS, [batch]), self._read("strings", STRINGS, [*before, batch])
-        if self.buckets > 1:
-            known = known.where(F.col("bucket").isin([r[0] for r in new.select("bucket").distinct().collect()]))
-        met = known.join(new.select("scope").distinct(), "scope", "left_semi").select("scope", "s", "segments")
+        scopes = new.select("scope", "bucket").distinct()
+        size, buckets = scopes.agg(F.count("*"), F.collect_set("bucket")).first()
+        known = known.where(F.col("bucket").isin(buckets))
+        # the scopes are broadcast where they are few, else both sides are shuffled by them
+        scopes = scopes.select("scope")
+        met = known.join(F.broadcast(scopes) if size <= BROADCAST_ROWS else scopes, "scope", "left_semi").select("scope", "s", "segments")
         pairs = near(new.select("scope", "s"), met, self.tau, self.crowd)
         links = pairs.select(canonical_form(F.col("s")).alias("canon"), canonical_form(F.col("t")).alias("other")).where("canon <> other").distinct()
-        self._write(links, "links", batch)
+        links.write.mode("overwrite").parquet(f"{self.path}/links/batch={batch}")
 
     def repeats(self) -> DataFrame:
         """(first_seq, repeat_seq) over all batches accepted. Later batches can join classes, so a row's first_seq may be lower than it was."""

@@ -137,10 +137,10 @@ def test_repeats_and_batches(spark, tmp_path):
             before = true
         assert {tuple(r) for r in index.repeats().collect()} == wanted and index.batches() == [0, 1, 2]
         index.accept(2, keyed)  # not taken again
-        index._append(3, keyed)  # broke off before its mark
+        index._write(keyed.withColumn("batch", F.lit(3)), "rows")  # broke off before its mark
         assert {tuple(r) for r in index.repeats().collect()} == wanted
     together = segments.BatchIndex(spark, str(tmp_path / "together"), crowd=1)
-    together.accept_all([(k, keyed.where(f"seq % 3 = {k}")) for k in range(3)])
+    together.accept_all([0, 1, 2], keyed.withColumn("batch", (F.col("seq") % 3).cast("int")))
     assert {tuple(r) for r in together.repeats().collect()} == wanted
     none = segments.BatchIndex(spark, str(tmp_path / "none"))
     assert none.repeats().count() == 0 and none.check(0, keyed.limit(0)).count() == 0
@@ -150,9 +150,8 @@ def test_small_batch_reads_few_buckets(spark, tmp_path):
     """The history doubles, the batches stay the same: so do the buckets read, and each has only its share of the strings."""
     df = spark.range(4000).selectExpr("id as seq", "concat('ABCD21', lpad(id, 10, '0')) as s", "s as canon", "id % 2000 as scope")
     index = segments.BatchIndex(spark, str(tmp_path / "index"), buckets=16)
-    index.accept_all([(k, df.where(f"seq div 1000 = {k}")) for k in range(4)])
-    new = df.where("seq < 3")
-    index._append(9, new)
+    index.accept_all([0, 1, 2, 3], df.withColumn("batch", F.expr("cast(seq div 1000 as int)")))
+    index.accept(9, df.where("seq < 3"))
     buckets = [r[0] for r in index._read("strings", segments.STRINGS, [9]).select("bucket").distinct().collect()]
     part = index._read("strings", segments.STRINGS, [0, 1, 2, 3]).where(F.col("bucket").isin(buckets))
     assert len(buckets) <= 3 and len(part.inputFiles()) <= 3 * 4 * 8 and part.count() < 4000 * 4 / 16
