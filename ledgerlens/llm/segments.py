@@ -127,8 +127,8 @@ class BatchIndex:
     earlier batches aren't read. So a batch costs its own size, and a scan of the probed buckets, which holds one hash a string.
     """
 
-    def __init__(self, spark: SparkSession, path: str, tau: int = TAU, crowd: int = CROWD, buckets: int = 4) -> None:
-        self.spark, self.path, self.tau, self.crowd, self.buckets = spark, path, tau, crowd, buckets
+    def __init__(self, spark: SparkSession, path: str, tau: int = TAU, crowd: int = CROWD, buckets: int = 4, together: int = 8) -> None:
+        self.spark, self.path, self.tau, self.crowd, self.buckets, self.together = spark, path, tau, crowd, buckets, together
 
     def batches(self) -> list[int]:
         """Numbers of the batches accepted."""
@@ -154,7 +154,8 @@ class BatchIndex:
 
     def accept_all(self, batches: list[int], rows: DataFrame) -> None:
         """Appends the ``keyed`` rows of new batches, told apart by their column batch, and in the order of ``batches`` the links that
-        the numbers of each have to those of all batches before and to each other.
+        the numbers of each have to those of all batches before and to each other. ``together`` batches are probed at a time: first all
+        against the stored index, and among themselves.
 
         A batch accepted before isn't taken again. Two scopes of equal 64-bit hash would be taken for one. An empty batch is a batch.
         """
@@ -167,22 +168,24 @@ class BatchIndex:
         bucket = F.pmod("scope", F.lit(self.buckets)).cast("int").alias("bucket")
         strings = own.select("scope", "s", bucket, "batch").repartition("batch", "bucket").distinct()
         self._write(strings.select("scope", "s", segments_of(self.tau).alias("segments"), "bucket", "batch"), "strings", "bucket")
-        for k in new:
-            self._probe(k, done)
-            done.append(k)
+        for at in range(0, len(new), self.together):
+            some = new[at : at + self.together]
+            self._probe(some, done)
+            done += some
         self.spark.createDataFrame([(k,) for k in new], "batch int").coalesce(1).write.mode("append").json(f"{self.path}/marks")
 
-    def _probe(self, batch: int, before: list[int]) -> None:
-        new, known = self._read("strings", STRINGS, [batch]), self._read("strings", STRINGS, [*before, batch])
+    def _probe(self, batches: list[int], before: list[int]) -> None:
+        """Writes the links of some batches to those before them and to each other."""
+        new, known = self._read("strings", STRINGS, batches), self._read("strings", STRINGS, [*before, *batches])
         scopes = new.select("scope", "bucket").distinct()
         size, buckets = scopes.agg(F.count("*"), F.collect_set("bucket")).first()
         known = known.where(F.col("bucket").isin(buckets))
         # the scopes are broadcast where they are few, else both sides are shuffled by them
         scopes = scopes.select("scope")
         met = known.join(F.broadcast(scopes) if size <= BROADCAST_ROWS else scopes, "scope", "left_semi").select("scope", "s", "segments")
-        pairs = near(new.select("scope", "s"), met, self.tau, self.crowd)
+        pairs = near(new.select("scope", "s").distinct(), met, self.tau, self.crowd)
         links = pairs.select(canonical_form(F.col("s")).alias("canon"), canonical_form(F.col("t")).alias("other")).where("canon <> other").distinct()
-        links.write.mode("overwrite").parquet(f"{self.path}/links/batch={batch}")
+        links.write.mode("overwrite").parquet(f"{self.path}/links/batch={batches[-1]}")
 
     def repeats(self) -> DataFrame:
         """(first_seq, repeat_seq) over all batches accepted. Later batches can join classes, so a row's first_seq may be lower than it was."""

@@ -139,7 +139,7 @@ def test_repeats_and_batches(spark, tmp_path):
         index.accept(2, keyed)  # not taken again
         index._write(keyed.withColumn("batch", F.lit(3)), "rows")  # broke off before its mark
         assert {tuple(r) for r in index.repeats().collect()} == wanted
-    together = segments.BatchIndex(spark, str(tmp_path / "together"), crowd=1)
+    together = segments.BatchIndex(spark, str(tmp_path / "together"), crowd=1, together=2)
     together.accept_all([0, 1, 2], keyed.withColumn("batch", (F.col("seq") % 3).cast("int")))
     assert {tuple(r) for r in together.repeats().collect()} == wanted
     none = segments.BatchIndex(spark, str(tmp_path / "none"))
