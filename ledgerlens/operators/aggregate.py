@@ -49,7 +49,10 @@ def exact_sum(df: DataFrame, name: str) -> Column:
 def aggregate(df: DataFrame, spec: AggSpec = AggSpec()) -> DataFrame:
     """The null key is a group. Columns: key, metrics, operations, first and last month, active months, modal labels."""
     key = resolve_key(df, spec.key)
-    wanted = [m for m in S.METRICS if spec.metrics is None or m in spec.metrics]
+    if unknown := set(spec.metrics or ()) - set(S.METRICS):
+        raise AggregationError(f"no metric: {', '.join(sorted(unknown))}")
+    # in the order they were chosen in
+    wanted = list(S.METRICS if spec.metrics is None else dict.fromkeys(spec.metrics))
     aggs = {S.METRICS[m]: exact_sum(df, m) for m in wanted if m in df.columns}
     if S.DEDUP_KEY in df.columns:
         aggs[S.OPERATION_COUNT] = F.count(col(S.DEDUP_KEY)) if spec.deduplicated else F.count_distinct(col(S.DEDUP_KEY))

@@ -21,6 +21,8 @@ class FilterSpec:
     years: list[int] | None = None
     months: tuple[int, int] | None = None
     dims: Mapping[str, list[str] | None] = field(default_factory=dict)
+    #: Whether any row has a month, where the caller knows.
+    has_months: bool | None = None
 
 
 def domain(df: DataFrame, name: str) -> DataFrame:
@@ -31,11 +33,14 @@ def domain(df: DataFrame, name: str) -> DataFrame:
 def cascading_domain(df: DataFrame, spec: FilterSpec, name: str) -> DataFrame:
     """The domain of a dimension after the filters that come before it."""
     before = {d: spec.dims.get(d) for d in DIMENSIONS[: DIMENSIONS.index(name)]}
-    return domain(apply_filters(df, FilterSpec(spec.years, spec.months, before)), name)
+    return domain(apply_filters(df, FilterSpec(spec.years, spec.months, before, spec.has_months)), name)
 
 
 def apply_filters(df: DataFrame, spec: FilterSpec) -> DataFrame:
-    """All predicates as one filter, left to the optimizer to push down. Columns that are missing aren't filtered."""
+    """All predicates as one filter, left to the optimizer to push down. Columns that are missing aren't filtered.
+
+    No job is run: where no range of months is given, whether any month exists is a subquery of the plan, unless ``spec`` tells.
+    """
     unknown = set(spec.dims) - set(DIMENSIONS)
     if unknown:
         raise ValueError(f"no dimension: {', '.join(sorted(unknown))}")
@@ -45,7 +50,10 @@ def apply_filters(df: DataFrame, spec: FilterSpec) -> DataFrame:
     if "Month" in df.columns:
         if spec.months is not None:
             keep = keep & F.col("Month").between(*spec.months)
-        elif not df.where("Month is not null").isEmpty():
+        elif spec.has_months is None:
+            any_month = df.where("Month is not null").select(F.lit(True).alias("any")).limit(1).scalar()
+            keep = keep & (F.col("Month").isNotNull() | any_month.isNull())
+        elif spec.has_months:
             keep = keep & F.col("Month").isNotNull()
     for name in DIMENSIONS:
         chosen = spec.dims.get(name)

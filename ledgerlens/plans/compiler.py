@@ -51,12 +51,37 @@ def _coerce(kind: str, value):
 
 
 def java_pattern(pattern: str, flags: str) -> str | None:
-    """A Python pattern for Spark's engine; None if it is invalid in Python."""
+    """A Python pattern for Spark's engine; None if it is invalid in Python.
+
+    Groups get names that both engines allow, the end of the text its other name, and in sets the signs that only one engine reads
+    as operators are escaped. As in Python, only a line feed ends a line.
+    """
     try:
-        re.compile(pattern)
+        names = re.compile(pattern).groupindex
     except (re.error, TypeError):
         return None
-    return f"(?{flags})" + re.sub(r"\(\?P=(\w+)\)", r"\\k<\1>", pattern.replace("(?P<", "(?<"))
+    named = {n: f"g{i}" for n, i in names.items()}
+    out, i, in_set = [], 0, False
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "\\":
+            out.append("\\z" if pattern[i : i + 2] == "\\Z" and not in_set else pattern[i : i + 2])
+            i += 2
+            continue
+        if in_set:
+            if c == "]" and i > first:
+                in_set = False
+            elif c in "[]" or c in "&~" and pattern[i + 1 : i + 2] == c:
+                c = "\\" + c
+        elif c == "[":
+            in_set, first = True, i + 1 + (pattern[i + 1 : i + 2] == "^")
+        elif m := re.match(r"\(\?P<(\w+)>|\(\?P=(\w+)\)", pattern[i:]):
+            out.append(f"(?<{named[m[1]]}>" if m[1] else f"\\k<{named[m[2]]}>")
+            i += m.end()
+            continue
+        out.append(c)
+        i += 1
+    return f"(?d{flags})" + "".join(out)
 
 
 def _java_valid(df: DataFrame, pattern: str) -> bool:
@@ -165,7 +190,9 @@ def _text(df: DataFrame, op: str, c: Column, value: str) -> Column:
     if op == "finit par":
         return _sure(c.endswith(value))
     pattern = java_pattern(value, "U" if op == "regex" else "iuU")
-    if pattern is None or not _java_valid(df, pattern):
+    if pattern is not None and not _java_valid(df, pattern):
+        raise RuleError(f"no such pattern in this engine: {value!r}")
+    if pattern is None:
         if op != "regex":
             raise RuleError(f"not a pattern: {value!r}")
         warnings.warn(f"not a pattern: {value!r}: the condition matches nothing", stacklevel=3)

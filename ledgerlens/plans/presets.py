@@ -1,4 +1,4 @@
-"""Ready-made rule sets."""
+"""Ready-made rule sets. The names of the segments."""
 
 from __future__ import annotations
 

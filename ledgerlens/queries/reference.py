@@ -365,7 +365,8 @@ def star_table(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {_STAR_SQL}" + _report_sql("agg, q", _PRESET, '"CA_EUR"'))
 def flagship_pipeline(spark, d):
-    done = Pipeline(spark).of(star_table(spark, d), ORDER).filter(FilterSpec()).aggregate()
+    dated = not table(spark, d, "orders").where("o_orderdate is not null").isEmpty()
+    done = Pipeline(spark).of(star_table(spark, d), ORDER).filter(FilterSpec(has_months=dated)).aggregate()
     # the thresholds and the report both read the customer table: it is written once
     agg = materialise(done.df.select("Customer", "CA_EUR"), "customers")
     return distribution(classify(agg, presets.quartiles(agg)))

@@ -15,6 +15,7 @@ OPERATIONS = {
     "Turnover in EUR": _MONEY, "Direct GM in EUR": _MONEY, "Gross Billing Tax Excl. in EUR": _MONEY,
     "TEU": T.DoubleType(), "Freight Ton": T.DoubleType(),
 }
+#: Names of columns, and of what is read and written, in their order.
 LINEAGE = "__source_file__"
 HEADER_MARKERS = frozenset({"Year", "Customer", "JobfileNumber"})
 HEADER_SCAN_ROWS = 15
@@ -23,6 +24,6 @@ DEDUP_KEY = "JobfileNumber"
 METRICS = {"Turnover in EUR": "CA_EUR", "Direct GM in EUR": "GM_EUR", "Gross Billing Tax Excl. in EUR": "Billing_HT_EUR", "TEU": "TEU", "Freight Ton": "Freight_Ton"}
 KEYS = ("Customer", "HQ CTO Customer Name", "CTO / RCU Customer Code", "CTO Name And Code")
 DIMENSIONS = ("Reporting Entity Label", "Zone 3 Label", "Market Segment Name", "Product Name", "Activity Name (EN)", "Shipping Type Name")
-MODAL = ("HQ CTO Customer Name", "Reporting Entity Label", "Market Segment Name")
+MODAL = ("HQ CTO Customer Name", "Market Segment Name", "Reporting Entity Label")
 OPERATION_COUNT, FIRST, LAST, MONTHS = "Nb_operations", "Premiere_activite", "Derniere_activite", "Nb_mois_actifs"
 SEGMENT, DEFAULT_SEGMENT = "segment", "Non classe"

@@ -15,9 +15,12 @@ BROADCAST_ROWS = 200_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from ``spark.checkpoint.dir``; where that is unset (tests), a temporary one."""
+    """The folder all executors share, from ``spark.checkpoint.dir``; where that is unset, a temporary one if all tasks run on this
+    machine, else RuntimeError: each executor would write to a disk of its own."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="ledgerlens-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")

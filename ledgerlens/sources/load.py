@@ -109,12 +109,32 @@ def read_csv(spark: SparkSession, path: str, order: int = 0, sep: str = ",") ->
     return _from_rows(numbered.select("row_no", cells.alias("cells")), scan[head], skip, os.path.basename(path), order)
 
 
-def read_extracts(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, list[tuple[str, str]]]:
-    """(operations of all files in their order, [(file, error)]). Folders and patterns are expanded in name order."""
+def read_parquet(spark: SparkSession, path: str, order: int = 0) -> DataFrame:
+    """A Parquet file or folder; lines count on from file to file in name order, whatever splits Spark reads."""
+    df = spark.read.parquet(path)
+    parts = sorted(df.inputFiles())
+    where = df.select(*df.columns, F.col("_metadata.file_name").alias("__name__"), F.col("_metadata.row_index").alias(ROW_ORDER))
+    if len(parts) > 1:
+        # the files of one folder; more rows than 2 ** 40 in a file there can't be
+        names = F.broadcast(spark.createDataFrame([(p.rpartition("/")[2], k) for k, p in enumerate(parts)], "__name__ string, __part__ long"))
+        where = where.join(names, "__name__").withColumn(ROW_ORDER, F.col("__part__") * (1 << 40) + F.col(ROW_ORDER)).drop("__part__")
+    if S.LINEAGE not in df.columns:
+        where = where.withColumn(S.LINEAGE, F.col("__name__"))
+    return where.drop("__name__").withColumn(FILE_ORDER, F.lit(order))
+
+
+def expand(paths: list[str]) -> list[str]:
+    """Folders and patterns as the files in them, in name order; a folder of Parquet parts stays one."""
     files: list[str] = []
     for p in paths:
         p = p.removeprefix("file://")
         files += sorted(glob.glob(p)) if any(c in p for c in "*?[") else sorted(os.path.join(p, f) for f in os.listdir(p)) if os.path.isdir(p) and not p.endswith(".parquet") else [p]
+    return files
+
+
+def read_extracts(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """(operations of all files in their order, [(file, error)]). Folders and patterns are expanded in name order."""
+    files = expand(paths)
     frames, errors = [], []
     for i, p in enumerate(files):
         try:
@@ -123,10 +143,7 @@ def read_extracts(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, lis
             elif p.endswith((".csv", ".txt")):
                 df = read_csv(spark, p, i)
             elif p.endswith(".parquet"):
-                df = spark.read.parquet(p)
-                if S.LINEAGE not in df.columns:
-                    df = df.withColumn(S.LINEAGE, F.col("_metadata.file_name"))
-                df = df.withColumn(FILE_ORDER, F.lit(i)).withColumn(ROW_ORDER, F.monotonically_increasing_id())
+                df = read_parquet(spark, p, i)
             else:
                 raise ValueError("no reader for this kind of file")
             frames.append(_typed(df))
@@ -139,14 +156,12 @@ def read_extracts(spark: SparkSession, paths: list[str]) -> tuple[DataFrame, lis
 
 
 def land(spark: SparkSession, paths: list[str], folder: str) -> tuple[DataFrame, list[tuple[str, str]]]:
-    """``read_extracts`` through a Parquet copy in ``folder`` that is kept by the files' contents: a second load of the same files reads the copy."""
+    """``read_extracts`` through a Parquet copy in ``folder`` that is kept by the names, sizes and times of change of all files that
+    the paths lead to: a second load of the same files reads the copy, a new or changed file makes another."""
     h = hashlib.sha256()
-    for p in paths:
-        h.update(os.path.basename(p).encode() + b"\0")
-        if os.path.isfile(p):
-            with open(p, "rb") as f:
-                while block := f.read(1 << 20):
-                    h.update(block)
+    for p in expand(paths):
+        inside = sorted(os.path.join(at, f) for at, _, names in os.walk(p) for f in names) if os.path.isdir(p) else [p] if os.path.isfile(p) else []
+        h.update(f"{p}\0{[(f, os.stat(f).st_size, os.stat(f).st_mtime_ns) for f in inside]}\0".encode())
     at = os.path.join(folder, h.hexdigest()[:32])
     if os.path.exists(os.path.join(at, "_SUCCESS")):
         return spark.read.parquet(at), []

@@ -122,3 +122,28 @@ def test_quartile_preset(spark):
     assert [s.name for s in rules.segments] == ["VIP", "Gold", "Silver", "Bronze"] and rules.segments[0].conditions[0].value == "75"
     with pytest.raises(RuleError):
         presets.quartiles(df.where("CA_EUR is null"))
+
+
+@pytest.mark.parametrize("pattern", [r"(?P<x_y>a)b", r"(?P<x_y>a)(?P=x_y)", r"\(?P<", r"b\Z", r"[[]a", r"[&&]", r"[^]]b", r"[]a]b", "^a.b$", r"a&&b"])
+@pytest.mark.parametrize("op", ["regex", "contient"])
+def test_python_patterns(spark, pattern, op):
+    import re
+
+    texts = ["ab", "aa", "(P<", "[a", "&", "]b", "xb", "a\rb", "a\nb", "a&&b", "", "b\n"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(compile_condition(df, Condition("t", op, pattern))).collect()]
+    assert got == [bool(re.search(pattern, t, re.I if op == "contient" else 0)) for t in texts]
+
+
+def test_pattern_that_only_python_has(spark):
+    df = spark.createDataFrame([("ab",)], "t string")
+    for op in ("regex", "contient"):
+        with pytest.raises(RuleError):
+            compile_condition(df, Condition("t", op, r"(a)?(?(1)b|c)"))
+
+
+def test_classification_has_no_python_node(spark):
+    df = spark.createDataFrame([("ab", 1.0)], "t string, CA_EUR double")
+    rules = RuleSet((Segment("x", "AND", (Condition("t", "regex", "a"), Condition("CA_EUR", ">", "0"))),))
+    plan = classify(df, rules)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "InPandas" not in plan and "InArrow" not in plan

@@ -91,3 +91,33 @@ def test_windowed_counts_on_a_stream(spark, tmp_path):
     q = stream.writeStream.format("memory").queryName("counts").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted((r.event_type, r.n) for r in spark.table("counts").collect()) == [("a", 2), ("b", 1)]
+
+
+def test_first_line_of_a_parquet_folder(spark, tmp_path):
+    """Lines are ordered by file name, not by the order in which Spark reads splits, the largest first."""
+    folder = tmp_path / "x.parquet"
+    one = "Year int, Month int, Customer string, JobfileNumber string"
+    for name, rows in (("part-0", [(2023, 1, "first", "J1")]), ("part-1", [(2023, 2, "second", "J1")] + [(2023, 3, "x" * 50, f"K{i}") for i in range(2000)])):
+        spark.createDataFrame(rows, one).coalesce(1).write.parquet(str(tmp_path / name))
+        folder.mkdir(exist_ok=True)
+        next((tmp_path / name).glob("*.parquet")).rename(folder / f"{name} a.parquet")
+    p = Pipeline(spark).read([str(folder)])
+    assert p.df.where("JobfileNumber = 'J1'").first().Customer == "first"
+    assert tuple(p.summary().first()) == (2001, len(p.columns()), 2, 1) and p.preview(3).count() == 3
+    assert not p.is_empty() and p.filter(FilterSpec(years=[1900])).is_empty()
+    with pytest.raises(ValueError):
+        p.clients()
+
+
+def test_landing_copy_sees_new_and_changed_files(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    a, b = tmp_path / "in" / "a.csv", tmp_path / "in" / "b.csv"
+    a.write_text("Year,Customer,JobfileNumber\n2023,A,J1\n")
+    read = lambda p: load.land(spark, [p], str(tmp_path / "land"))[0].count()
+    for p in (str(tmp_path / "in"), str(tmp_path / "in" / "*.csv")):
+        b.unlink(missing_ok=True)
+        assert read(p) == 1
+        b.write_text("Year,Customer,JobfileNumber\n2023,B,J2\n2023,B,J3\n")
+        assert read(p) == 3
+        b.write_text("Year,Customer,JobfileNumber\n2023,B,J2\n")
+        assert read(p) == 2
