@@ -113,7 +113,7 @@ def read_parquet(spark: SparkSession, path: str, order: int = 0) -> DataFrame:
     """A Parquet file or folder; lines count on from file to file in name order, whatever splits Spark reads."""
     df = spark.read.parquet(path)
     parts = sorted(df.inputFiles())
-    where = df.select(*df.columns, F.col("_metadata.file_name").alias("__name__"), F.col("_metadata.row_index").alias(ROW_ORDER))
+    where = df.select(*[col(c) for c in df.columns], F.col("_metadata.file_name").alias("__name__"), F.col("_metadata.row_index").alias(ROW_ORDER))
     if len(parts) > 1:
         # the files of one folder; more rows than 2 ** 40 in a file there can't be
         names = F.broadcast(spark.createDataFrame([(p.rpartition("/")[2], k) for k, p in enumerate(parts)], "__name__ string, __part__ long"))

@@ -13,7 +13,7 @@ from ledgerlens.sources.xlsx import write_workbook
 
 def write_csv(df: DataFrame, folder: str) -> None:
     """Any size: a folder of CSV parts with headers, written in parallel."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(folder)
+    df.write.mode("overwrite").option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
 
 
 def write_csv_file(df: DataFrame, path: str) -> None:

@@ -2,11 +2,11 @@
 
 import pytest
 
-from ledgerlens.queries import data, reference
+from ledgerlens.queries import data, files, reference
 from tests.conftest import DATA, against_sql
 
-QUERIES = reference.QUERIES | data.QUERIES
-ORACLE = reference.ORACLE | data.ORACLE
+QUERIES = reference.QUERIES | data.QUERIES | files.QUERIES
+ORACLE = reference.ORACLE | data.ORACLE | files.ORACLE
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
