@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.session import materialise
 
 #: The lattice, least to most general; bool joins with anything else to text.
 BOOL, INT, NUM, TEXT = "boolean", "integer", "number", "text"
@@ -212,7 +213,8 @@ class Drift:
             cols = counts.groupBy("file", "pos").agg(F.collect_list(F.struct("slot", "n")).alias("counts")).groupBy("file").agg(F.collect_list(F.struct("pos", "counts")).alias("cols"))
             heads = self.files.join(self.headers, "file").join(cols, "file", "left")
             ordered = heads.select("series", "at", "file", "header", "cols").repartition("series").sortWithinPartitions("series", "at", "file")
-            self._log = ordered.mapInPandas(_fold, _FOLD)
+            # read by the changes, the union schema and the table
+            self._log = materialise(ordered.mapInPandas(_fold, _FOLD), "drift")
         return self._log
 
     def changes(self) -> DataFrame:
