@@ -22,7 +22,7 @@ TOPICS = {
     "transport": "conteneur|navire|chauffeur|palettes|plombs|reefer|container|vessel|driver|pallets|seals|schiff|fahrer|paletten|plomben|contenedor|buque|conductor|contentor|navio|motorista",
     "account": "client|chiffre d'affaires|segmentation|compte|customer|turnover|account|kunde|umsatz|konto|cliente|ventas|cuenta|vendas|conta",
 }
-#: Cells that are brought to the driver at most.
+#: Cells that are brought to the driver at most, unless the caller allows more.
 MAX_CELLS = 100_000
 
 
@@ -85,7 +85,8 @@ def rake(cells: list[tuple], size: np.ndarray, targets: dict[str, float], caps:
             got = np.bincount(at[k], factor * size, len(axes[k]))
             factor = factor * np.divide(share * got.sum(), got, out=np.ones_like(got), where=got > 0)[at[k]]
         # the source targets last, spread over the cells that the cap leaves room in
-        for _ in range(50):
+        # a round fills up at least one more cell, or is the last
+        for _ in range(len(cells) + 1):
             factor = np.minimum(factor, cap)
             held = factor >= cap
             fixed = np.bincount(at[0], factor * size * held, len(wanted))
@@ -104,29 +105,29 @@ def _source(c: Column) -> Column:
     return F.lower(F.trim(c))
 
 
-def mix(docs: DataFrame, doc: str, source: str, lang: str, topic: str, size: str, targets: DataFrame, seed: int = 1) -> tuple[DataFrame, DataFrame]:
+def mix(docs: DataFrame, doc: str, source: str, lang: str, topic: str, size: str, targets: DataFrame, seed: int = 1, max_cells: int = MAX_CELLS) -> tuple[DataFrame, DataFrame]:
     """(sample, report) for materialised ``docs``; ``targets`` has source, target_share and max_repeats.
 
     sample: (doc, source, size, copies) of the documents taken. report, a row per source of ``targets`` or ``docs``:
     size, target_share, max_repeats, target_size, capacity (size x max_repeats), planned and reached size, reached_share,
-    and ``short`` where the capacity lies below the target size. Sources compare in lower case without outer blanks.
+    and ``short`` where the raked plan, all cells of the source at their cap, stays below the target size. Sources compare in lower case without outer blanks.
     The total size is that of all documents; where a source is short the mixture falls short of it, no other source makes
     up for it. A source without documents has size 0; documents without source, or with a source without target, are not
     taken. Null sizes count as 0. Empty tables give empty results.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc).alias("doc"), _source(F.col(source)).alias("source"), F.col(lang).alias("lang"), F.col(topic).alias("topic"), F.coalesce(F.col(size), F.lit(0)).cast("long").alias("size"))
-    cells = rows.groupBy("source", "lang", "topic").agg(F.sum("size").alias("size")).limit(MAX_CELLS + 1).collect()
-    wanted = targets.select(_source(F.col("source")).alias("source"), "target_share", "max_repeats").where("source is not null").limit(MAX_CELLS + 1).collect()
-    if max(len(cells), len(wanted)) > MAX_CELLS:
-        raise ValueError(f"more than {MAX_CELLS} cells of source, language and topic, or targets")
+    cells = rows.groupBy("source", "lang", "topic").agg(F.sum("size").alias("size")).limit(max_cells + 1).collect()
+    wanted = targets.select(_source(F.col("source")).alias("source"), "target_share", "max_repeats").where("source is not null").limit(max_cells + 1).collect()
+    if max(len(cells), len(wanted)) > max_cells:
+        raise ValueError(f"more than {max_cells} cells of source, language and topic, or targets")
     share, cap = {r[0]: r[1] or 0.0 for r in wanted}, {r[0]: r[2] or 0 for r in wanted}
     sizes = np.array([r[3] for r in cells], float)
     raked = rake([(r[0], r[1], r[2]) for r in cells], sizes, share, cap)
     total = float(sizes.sum())
 
     factors = spark.createDataFrame([(r[0], r[1], r[2], float(f)) for r, f in zip(cells, raked.factor) if r[0] is not None], "source string, lang string, topic string, factor double")
-    # the cells are bounded by MAX_CELLS
+    # the cells are bounded by max_cells
     on = (rows.source == F.col("f.source")) & rows.lang.eqNullSafe(F.col("f.lang")) & rows.topic.eqNullSafe(F.col("f.topic"))
     drawn = rows.join(F.broadcast(factors.alias("f")), on).select(rows.doc, rows.source, rows["size"], "factor")
     u = F.pmod(F.xxhash64("doc", F.lit(seed)), F.lit(1 << 53)) / float(1 << 53)
@@ -138,11 +139,11 @@ def mix(docs: DataFrame, doc: str, source: str, lang: str, topic: str, size: str
         planned[r[0]] = planned.get(r[0], 0.0) + float(f) * r[3]
         own[r[0]] = own.get(r[0], 0) + r[3]
     names = [s for s in sorted({*own, *share} - {None})]
-    table = [(s, int(own.get(s, 0)), float(share.get(s, 0.0)), int(cap.get(s, 0)), share.get(s, 0.0) * total, int(own.get(s, 0) * cap.get(s, 0)), float(planned.get(s, 0.0)), bool(own.get(s, 0) * cap.get(s, 0) < share.get(s, 0.0) * total)) for s in names]
+    table = [(s, int(own.get(s, 0)), float(share.get(s, 0.0)), int(cap.get(s, 0)), share.get(s, 0.0) * total, int(own.get(s, 0) * cap.get(s, 0)), float(planned.get(s, 0.0)), planned.get(s, 0.0) < share.get(s, 0.0) * total * (1 - 1e-9)) for s in names]
     base = spark.createDataFrame(table, "source string, size long, target_share double, max_repeats int, target_size double, capacity long, planned_size double, short boolean")
     reached = sample.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("reached_size"), F.max("copies").alias("most_copies"))
     report = base.join(reached, "source", "left").withColumn("reached_size", F.coalesce("reached_size", F.lit(0)))
-    # one window over the sources, which MAX_CELLS bounds
+    # one window over the sources, which max_cells bounds
     all_reached = F.sum("reached_size").over(Window.partitionBy(F.lit(0))).cast("double")
     report = report.withColumn("reached_share", F.try_divide(F.col("reached_size").cast("double"), all_reached))
     return sample, report
